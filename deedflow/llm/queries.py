@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import feistel, mixing, url_rules
+from . import feistel, mixing, simhash, url_rules
 from .runtime import table
 
 #: The rules of op2, as (action, host and path).
@@ -47,6 +47,11 @@ def op3_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -55,6 +60,7 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op3_feistel_sharding": op3_feistel_sharding,
+    "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op9_source_mixing": op9_source_mixing,
 }
 
