@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import feistel, mixing, simhash, url_rules
+from . import feistel, mixing, simhash, templates, url_rules
 from .runtime import table
 
 #: The rules of op2, as (action, host and path).
 URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 
 
+def op1_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return templates.contaminated(docs, table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = [url_rules.UrlRule.parse(*r) for r in URL_RULES]
     return url_rules.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
@@ -58,6 +63,7 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_template_decontamination": op1_template_decontamination,
     "op2_url_filter": op2_url_filter,
     "op3_feistel_sharding": op3_feistel_sharding,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
