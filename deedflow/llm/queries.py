@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import feistel, mixing, simhash, templates, url_rules
+from . import feistel, html_main, mixing, simhash, templates, url_rules
 from .runtime import table
 
 #: The rules of op2, as (action, host and path).
@@ -57,6 +57,10 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract_main(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op3_feistel_sharding": op3_feistel_sharding,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op8_html_main_text": op8_html_main_text,
     "op9_source_mixing": op9_source_mixing,
 }
 
