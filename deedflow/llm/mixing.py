@@ -24,22 +24,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .runtime import WORD, fresh
+from .runtime import WORD, durable, fresh
 
 SLICES = 2048
 CYCLE = (5, 2, 1)
+JUNK = r"[#$%&*|!<>{}0-9]"
 
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def letter_weight(text: Column) -> Column:
-    """Quality weight from 0.25 to 1: the share of letters among characters that are no white space."""
-    kept = F.length(F.translate(text, " \t\n\x0b\x0c\r", ""))
-    letters = F.regexp_count(text, F.lit(r"\p{L}"))
-    share = F.when(kept > 0, letters / kept).otherwise(0.0)
-    return F.coalesce(F.lit(0.25) + F.lit(0.75) * share, F.lit(0.25))
+def clean_weight(text: Column, size: Column) -> Column:
+    """Quality weight from 0.25 to 1 that falls with the symbols and digits for each word."""
+    junk = F.coalesce(F.regexp_count(text, F.lit(JUNK)), F.lit(0))
+    return F.lit(0.25) + F.lit(0.75) / (F.lit(1.0) + junk.cast("double") / F.greatest(size, F.lit(1)).cast("double"))
 
 
 def uniform(identity: Column, seed: int) -> Column:
@@ -88,10 +87,11 @@ def mix_sources(
         raise ValueError("a cap below one cannot give out all sizes")
     key, tie, src, src2 = fresh(df, "mix_key", "mix_tie", "mix_source", "mix_source_right")
     name = F.coalesce(F.col(identity).cast("string"), F.lit(""))
-    quality = weight if weight is not None else letter_weight(F.col(text))
+    quality = weight if weight is not None else clean_weight(F.col(text), F.col("size"))
     keyed = df.withColumns({"size": word_count(F.col(text)), src: F.col(source)})
     keyed = keyed.withColumns({key: -F.log(uniform(name, seed)) / quality, tie: F.md5(name.cast("binary"))})
-    cuts = _cuts(keyed.select(F.col(src).alias("s"), F.col(key).alias("k"), F.col(tie).alias("t"), "size"), cap, cycle)
+    # the narrow rows are used three times, the texts are read for them once
+    cuts = _cuts(durable(keyed.select(F.col(src).alias("s"), F.col(key).alias("k"), F.col(tie).alias("t"), "size")), cap, cycle)
     cuts = cuts.withColumnRenamed("s", src2)
     here = _slice(F.col(key))
     within = (F.col(key) < F.col("cut_k")) | ((F.col(key) == F.col("cut_k")) & (F.col(tie) <= F.col("cut_t")))
