@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import feistel, html_main, mixing, simhash, templates, url_rules
-from .runtime import table
+from . import collision_ann, feistel, html_main, language_id, mixing, quality_gbt, simhash, templates, url_rules
+from .runtime import crc32_mod, table
 
 #: The rules of op2, as (action, host and path).
 URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
@@ -57,6 +57,17 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collision_ann.nearest(table(spark, sf_dir, "embeddings"), F.pmod(F.col("vec_id"), F.lit(100)) == 0)
+
+
+def op7_quality_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    forest = quality_gbt.fit(docs, table(spark, sf_dir, "labels"), crc32_mod("doc_id", 5) != 0, "quality")
+    judged = quality_gbt.judge(docs.withColumn("held_out", crc32_mod("doc_id", 5) == 0), forest)
+    return judged.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op8_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main.extract_main(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
@@ -66,13 +77,58 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_ppm_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    names, model = language_id.learn(docs, crc32_mod("doc_id", 4) != 2)
+    held = docs.select("doc_id", "text", (crc32_mod("doc_id", 4) == 2).alias("held_out"))
+    return language_id.judge(held, names, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+OP9_SQL = r"""
+WITH counted AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         len(regexp_extract_all(coalesce(text, ''), '[#$%&*|!<>{}0-9]')) AS junk, coalesce(doc_id::VARCHAR, '') AS name
+  FROM documents),
+keyed AS (
+  SELECT doc_id, source, size, md5(name) AS tie,
+         -ln((('0x' || substr(md5('11:' || name), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0)
+           / (0.25 + 0.75 / (1.0 + junk::DOUBLE / greatest(size, 1)::DOUBLE)) AS key
+  FROM counted),
+sizes AS (SELECT source, sum(size)::BIGINT AS source_size FROM keyed GROUP BY source),
+weighed AS (
+  SELECT source, source_size, 3.0::DOUBLE * source_size AS most,
+         ([5, 2, 1])[1 + ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3)::INT]::DOUBLE AS w
+  FROM sizes),
+levelled AS (
+  SELECT *, (sum(source_size) OVER ()::DOUBLE
+             - coalesce(sum(most) OVER (ORDER BY most / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
+            / sum(w) OVER (ORDER BY most / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighed),
+final AS (SELECT min_by(level, most / w) AS level FROM levelled WHERE level * w <= most),
+plan AS (
+  SELECT source, source_size, least(most, coalesce(final.level * w, most)) AS target FROM levelled LEFT JOIN final ON true),
+epochs AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS epochs FROM plan),
+ranked AS (
+  SELECT k.doc_id, k.size, e.source_size, e.target, e.epochs, e.target - e.epochs * e.source_size AS rest,
+         coalesce(sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.tie ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prior
+  FROM keyed k JOIN epochs e ON k.source IS NOT DISTINCT FROM e.source)
+SELECT doc_id, size::BIGINT AS size, source_size, target,
+       ((epochs + CASE WHEN prior + size / 2.0 <= rest THEN 1 ELSE 0 END) * size)::BIGINT AS taken
+FROM ranked
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_template_decontamination": op1_template_decontamination,
     "op2_url_filter": op2_url_filter,
     "op3_feistel_sharding": op3_feistel_sharding,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op6_collision_ann": op6_collision_ann,
+    "op7_quality_gbt": op7_quality_gbt,
     "op8_html_main_text": op8_html_main_text,
     "op9_source_mixing": op9_source_mixing,
+    "op10_ppm_language_id": op10_ppm_language_id,
 }
 
-SQL = {"op2_url_filter": OP2_SQL}
+SQL = {"op2_url_filter": OP2_SQL, "op9_source_mixing": OP9_SQL}
