@@ -109,7 +109,7 @@ def nearest(df: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id"
     usable = df.select(F.col(vec_id).cast("long").alias("id"), F.col(embedding).alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
     usable = usable.where(F.col("id").isNotNull() & F.col("v").isNotNull() & ~bad & F.exists("v", lambda x: x != 0))
     usable = usable.withColumn("dim", F.size("v"))
-    rows, asked = usable.agg(F.count("*"), F.count_if("asks")).first()
+    rows, asked = usable.agg(F.count("*"), F.count_if(F.col("asks"))).first()
     chunks, blocks = max(1, math.ceil(rows / chunk)), max(1, math.ceil(asked / block))
     dealt = lambda n, salt: F.pmod(F.xxhash64("id", "v", F.lit(salt)), F.lit(n)).cast("int")
     # a chunk holds about ``chunk`` rows, as the hash deals them out evenly

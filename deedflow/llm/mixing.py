@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from .runtime import WORD, durable, fresh
 
 SLICES = 2048
+#: Up to so many sources their cuts are sent to every executor; more are joined by a shuffle.
+BROADCAST_SOURCES = 50_000
 CYCLE = (5, 2, 1)
 JUNK = r"[#$%&*|!<>{}0-9]"
 
@@ -92,7 +94,8 @@ def mix_sources(
     keyed = keyed.withColumns({key: -F.log(uniform(name, seed)) / quality, tie: F.md5(name.cast("binary"))})
     # the narrow rows are used three times, the texts are read for them once
     cuts = _cuts(durable(keyed.select(F.col(src).alias("s"), F.col(key).alias("k"), F.col(tie).alias("t"), "size")), cap, cycle)
-    cuts = cuts.withColumnRenamed("s", src2)
+    cuts = durable(cuts.withColumnRenamed("s", src2))
+    cuts = F.broadcast(cuts) if cuts.count() <= BROADCAST_SOURCES else cuts
     here = _slice(F.col(key))
     within = (F.col(key) < F.col("cut_k")) | ((F.col(key) == F.col("cut_k")) & (F.col(tie) <= F.col("cut_t")))
     taken_again = F.coalesce(((here < F.col("cut_slice")) | ((here == F.col("cut_slice")) & within)).cast("int"), F.lit(0))

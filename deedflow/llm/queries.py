@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collision_ann, feistel, html_main, language_id, mixing, quality_gbt, simhash, templates, url_rules
+from . import collision_ann, feistel, html_main, language_id, lm_score, mixing, quality_gbt, simhash, templates, url_rules
 from .runtime import crc32_mod, table
 
 #: The rules of op2, as (action, host and path).
@@ -57,6 +57,10 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op5_ppm_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents").select("doc_id", "text"), crc32_mod("doc_id", 7) != 2)
+
+
 def op6_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collision_ann.nearest(table(spark, sf_dir, "embeddings"), F.pmod(F.col("vec_id"), F.lit(100)) == 0)
 
@@ -124,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op3_feistel_sharding": op3_feistel_sharding,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_ppm_lm_score": op5_ppm_lm_score,
     "op6_collision_ann": op6_collision_ann,
     "op7_quality_gbt": op7_quality_gbt,
     "op8_html_main_text": op8_html_main_text,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import tempfile
+import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -18,24 +19,39 @@ def ship(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """``df`` materialised in the shared checkpoint folder, its lineage cut.
+def shared_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``, which driver and executors share.
 
-    The folder is the session's ``spark.checkpoint.dir``.  Only a session that has none, on a local
-    master, gets a temporary one; on a cluster a missing setting is an error.
+    Only a session that has none, on a local master, gets a temporary one; on a cluster a missing setting is
+    an error.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if shared is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+        shared = tempfile.mkdtemp(prefix="checkpoints-")
     if sc.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-            shared = tempfile.mkdtemp(prefix="checkpoints-")
         sc.setCheckpointDir(shared)
+    return shared
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """``df`` checkpointed in the shared folder, its lineage cut.  Spark's cleaner removes the files."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a compressed Parquet table in the shared folder, for large rows that are read more than once.
+
+    The table lies beside the checkpoints and goes when that folder is cleared.
+    """
+    path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
