@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import ppm
-from .runtime import durable, fresh, ship
+from .runtime import durable, ship
 
 SAMPLE = 400
 #: Sample keys up to this number are sent to every executor; more are joined by a shuffle.
@@ -68,10 +68,11 @@ def learn(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
     return names, ppm.Model([(p["gram"].to_numpy(np.int64), p["n"].to_numpy(np.int64)) for p in parts])
 
 
-def judge(docs: DataFrame, names: list[str], model: ppm.Model | None, text: str = "text", lang_pred: str = "lang_pred", score: str = "score") -> DataFrame:
-    """``docs`` with the predicted language and the score."""
-    rest = [c for c in docs.columns if c not in (lang_pred, score)]
-    (work,) = fresh(docs, "text_to_judge")
+def judge(docs: DataFrame, names: list[str], model: ppm.Model | None, text: str = "text", keep: list[str] | None = None, lang_pred: str = "lang_pred", score: str = "score") -> DataFrame:
+    """The columns ``keep`` (all, if not given) with the predicted language and the score."""
+    rest = [c for c in keep or docs.columns if c not in (lang_pred, score)]
+    sent = rest if text in rest else [*rest, text]
+    at = sent.index(text)
     schema = docs.select(*rest, F.lit("").alias(lang_pred), F.lit(0.0).alias(score)).schema
     languages = np.array([*names, UNKNOWN], object)
 
@@ -80,17 +81,16 @@ def judge(docs: DataFrame, names: list[str], model: ppm.Model | None, text: str
 
         letter = re.compile(r"[^\W\d_]")
         for batch in batches:
-            texts = batch.column(len(rest)).to_pylist()
+            texts = batch.column(at).to_pylist()
             known = np.fromiter((bool(t) and letter.search(t) is not None for t in texts), bool, len(texts))
             best, share = np.full(len(texts), len(names)), np.zeros(len(texts))
             if model is not None and known.any():
                 bits = model.scores([prepared(t) for t, k in zip(texts, known) if k])
-                at = bits.argmax(axis=1)
-                best[known] = at
+                best[known] = bits.argmax(axis=1)
                 share[known] = 1.0 / (10.0 ** np.maximum(bits - bits.max(axis=1, keepdims=True), -300)).sum(axis=1)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], pa.array(languages[best], pa.string()), pa.array(share)], names=[*rest, lang_pred, score])
 
-    return docs.select(*rest, F.col(text).alias(work)).mapInArrow(run, schema)
+    return docs.select(*sent).mapInArrow(run, schema)
 
 
 ship(__name__)

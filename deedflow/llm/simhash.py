@@ -150,14 +150,14 @@ def links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFram
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, radius: int = RADIUS, tile: int = TILE, extra: list[str] | None = None) -> DataFrame:
-    """(doc_id, extra columns, ``fp``, ``component_id``): component_id is the least doc_id reachable."""
+    """(doc_id, extra columns, ``fp``, ``root``, ``component_id``): component_id is the least doc_id reachable, root tells components apart."""
     (fp,) = fresh(docs, "fp")
     prints = durable(fingerprints(docs.select(doc_id, *(extra or []), text), text, fp, width))
     named = prints.groupBy(F.col(fp).alias("fp")).agg(F.min(doc_id).alias("least"))
     roots = connected(links(named.select("fp"), radius, tile))
     grouped = named.join(roots, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
     names = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = grouped.select("fp", F.col("root").alias("r")).join(names, F.col("r") == F.col("root")).select("fp", "component_id")
+    by_print = grouped.select("fp", F.col("root").alias("r")).join(names, F.col("r") == F.col("root")).select("fp", "root", "component_id")
     return prints.join(by_print, prints[fp] == by_print["fp"]).drop(fp)
 
 
