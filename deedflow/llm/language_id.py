@@ -60,7 +60,7 @@ def learn(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
     few = chosen.count() <= BROADCAST_ROWS
     texts = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"), order.alias("order"))
     picked = texts.join(F.broadcast(chosen) if few else chosen, "order", "left_semi").select("lang", "text")
-    counts = picked.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
+    counts = picked.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     names = sorted(counts["lang"].unique())
     parts = [counts[counts["lang"] == name].sort_values("gram") for name in names]
     if not names:
@@ -75,17 +75,19 @@ def judge(docs: DataFrame, names: list[str], model: ppm.Model | None, text: str
     at = sent.index(text)
     schema = docs.select(*rest, F.lit("").alias(lang_pred), F.lit(0.0).alias(score)).schema
     languages = np.array([*names, UNKNOWN], object)
+    shared = docs.sparkSession.sparkContext.broadcast(model.state()) if model is not None else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import re
 
         letter = re.compile(r"[^\W\d_]")
+        frozen = ppm.Model.of(shared.value) if shared is not None else None
         for batch in batches:
             texts = batch.column(at).to_pylist()
             known = np.fromiter((bool(t) and letter.search(t) is not None for t in texts), bool, len(texts))
             best, share = np.full(len(texts), len(names)), np.zeros(len(texts))
-            if model is not None and known.any():
-                bits = model.scores([prepared(t) for t, k in zip(texts, known) if k])
+            if frozen is not None and known.any():
+                bits = frozen.scores([prepared(t) for t, k in zip(texts, known) if k])
                 best[known] = bits.argmax(axis=1)
                 share[known] = 1.0 / (10.0 ** np.maximum(bits - bits.max(axis=1, keepdims=True), -300)).sum(axis=1)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], pa.array(languages[best], pa.string()), pa.array(share)], names=[*rest, lang_pred, score])

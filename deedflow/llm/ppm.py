@@ -94,6 +94,16 @@ class Model:
             self.table[:, bos, :] = 0.0  # marks are no symbols and cost nothing
         self.table = self.table.reshape(-1, len(tries))
 
+    def state(self) -> tuple:
+        """Plain arrays, for a broadcast that workers keep between tasks and can read without this code."""
+        return self.order, self.width, self.symbol, self.context, self.table
+
+    @classmethod
+    def of(cls, state: tuple) -> Model:
+        new = cls.__new__(cls)
+        new.order, new.width, new.symbol, new.context, new.table = state
+        return new
+
     def _fill(self, t: int, keys: np.ndarray, counts: np.ndarray, ids: list[np.ndarray], first: np.ndarray) -> None:
         a = self.width
         col = [self.symbol[(keys >> np.uint32(8 * i)) & np.uint32(255)] for i in (3, 2, 1, 0)]
