@@ -134,8 +134,8 @@ def model_of(grams: DataFrame, most: int = WINDOWS) -> trie.Trie:
         if order < ORDER:
             grams = grams.groupBy(F.col("gram").bitwiseAND(F.lit((1 << (8 * (order + 1))) - 1)).alias("gram")).agg(F.sum("n").alias("n"))
         if order <= 1 or grams.count() <= most:  # there are 2**16 windows of order 1 at most
-            found = grams.toPandas()
-            return trie.Trie(found["gram"].to_numpy(np.int64).astype(np.uint64), found["n"].to_numpy(np.int64), order)
+            found = grams.select("gram", "n").toArrow()
+            return trie.Trie(found["gram"].to_numpy().view(np.uint64), found["n"].to_numpy(), order)
     raise AssertionError
 
 

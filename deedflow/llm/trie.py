@@ -66,28 +66,29 @@ def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
 
 
 class Lookup:
-    """Positions of keys: buckets of a multiplicative hash over the keys in hash order."""
+    """Keys in the order of a multiplicative hash, with the bounds of its buckets."""
 
     def __init__(self, keys: np.ndarray) -> None:
+        """``order``: how values have to be arranged to fit the positions that are found."""
         bits = max(1, int(len(keys) * 2 - 1).bit_length()) if len(keys) else 1
         self.shift = np.uint64(64 - bits)
-        bucket = ((keys * _MIX) >> self.shift).astype(np.int64)
-        self.where = np.argsort(bucket, kind="stable").astype(np.int32)
-        self.keys = keys[self.where]
+        bucket = ((keys * _MIX) >> self.shift).astype(np.int32)
+        self.order = np.argsort(bucket, kind="stable").astype(np.int32)
+        self.keys = keys[self.order]
         self.start = np.zeros((1 << bits) + 1, np.int32)
         np.cumsum(np.bincount(bucket, minlength=1 << bits), out=self.start[1:])
 
     def state(self) -> tuple:
-        return self.shift, self.where, self.keys, self.start
+        return self.shift, self.keys, self.start
 
     @classmethod
     def of(cls, state: tuple) -> Lookup:
         new = cls.__new__(cls)
-        new.shift, new.where, new.keys, new.start = state
+        new.shift, new.keys, new.start = state
         return new
 
     def find(self, keys: np.ndarray) -> np.ndarray:
-        """The position of each key among the keys given first, -1 for others."""
+        """The position of each key, -1 for unknown ones."""
         out = np.full(len(keys), -1, np.int32)
         bucket = ((keys * _MIX) >> self.shift).astype(np.int64)
         at, end = self.start[bucket], self.start[bucket + 1]
@@ -95,7 +96,7 @@ class Lookup:
         at = at[open_]
         while len(open_):
             hit = self.keys[at] == keys[open_]
-            out[open_[hit]] = self.where[at[hit]]
+            out[open_[hit]] = at[hit]
             at = at[~hit] + 1
             open_ = open_[~hit]
             more = at < end[open_]
@@ -121,7 +122,7 @@ class Trie:
             first = np.nonzero(np.concatenate(([True], context[1:] != context[:-1])))[0] if len(k) else np.zeros(0, np.int64)
             total = np.add.reduceat(n, first) if len(first) else n
             distinct = np.diff(np.append(first, len(k))).astype(np.float64)
-            own = np.repeat(np.arange(len(first)), distinct.astype(np.int64))
+            own = np.repeat(np.arange(len(first), dtype=np.int32), distinct.astype(np.int64))
             if o == 0:
                 rn, rd = np.zeros(len(first)), ALPHABET - distinct
             else:
@@ -130,18 +131,18 @@ class Trie:
                 parent = pc[up[first]] if len(first) else np.zeros(0, np.int64)
                 rn = ptotal[parent] - (np.add.reduceat(pn[up], first) if len(first) else 0.0)
                 rd = pdistinct[parent] - distinct
-            with np.errstate(divide="ignore"):
-                self.levels.append(
-                    {
-                        "pairs": Lookup(k), "first": np.log10((2 * n - 1) / (2 * total)[own]).astype(np.float32), "count": np.log10(2 * n - 1).astype(np.float32),
-                        "contexts": Lookup(context[first]), "escape": np.log10(distinct / (2 * total)).astype(np.float32),
-                        # of the suffix, without what was seen here; where nothing is left the step is free
-                        "left": np.where(rd > 0, np.log10(np.maximum(2 * rn, 1)), 0.0).astype(np.float32),
-                        "again": np.where(rd > 0, np.log10(np.maximum(rd, 1) / np.maximum(2 * rn, 1)), 0.0).astype(np.float32),
-                    }
-                )
+            pairs, contexts = Lookup(k), Lookup(context[first])
+            kept = {
+                "first": (pairs, np.log10((2 * n - 1) / (2 * total)[own])), "count": (pairs, np.log10(2 * n - 1)), "escape": (contexts, np.log10(distinct / (2 * total))),
+                # of the suffix, without what was seen here; where nothing is left the step is free
+                "left": (contexts, np.where(rd > 0, np.log10(np.maximum(2 * rn, 1)), 0.0)),
+                "again": (contexts, np.where(rd > 0, np.log10(np.maximum(rd, 1) / np.maximum(2 * rn, 1)), 0.0)),
+            }
+            self.levels.append({name: values[at.order].astype(np.float32) for name, (at, values) in kept.items()} | {"pairs": Lookup.of(pairs.state()), "contexts": Lookup.of(contexts.state())})
+            del kept, pairs, contexts, context
+            levels[o] = None
             above = (k, n, own, total, distinct)
-        self.unseen = -np.log10(max(1.0, ALPHABET - (above and len(levels[0][0]))))
+        self.unseen = -np.log10(max(1.0, ALPHABET - len(self.levels[0]["first"])))
 
     def state(self) -> tuple:
         """Plain arrays, for a broadcast that needs no code of this package to be read."""
