@@ -75,7 +75,8 @@ def long_profile(df: DataFrame, columns: Sequence[str], token_columns: Sequence[
     """(scope, metric, value, count, percent) for all rows and for those in ``scope``, all columns in one pass."""
     inside = locked() if scope is None else T.is_true(scope)
     plain = [F.struct(F.lit(c).alias("metric"), F.coalesce(F.col(c).cast("string"), F.lit("<NULL>")).alias("value")) for c in columns]
-    split = [F.transform(T.unpipe(F.col(c)), lambda t, c=c: F.struct(F.lit(c).alias("metric"), t.alias("value"))) for c in token_columns]
+    cell = lambda name: lambda token: F.struct(F.lit(name).alias("metric"), token.alias("value"))
+    split = [F.transform(T.unpipe(F.col(c)), cell(c)) for c in token_columns]
     cells = F.concat(F.array(*plain), *split) if split else F.array(*plain)
     scopes = F.when(inside, F.array(F.lit("all"), F.lit("locked"))).otherwise(F.array(F.lit("all")))
     rows = df.select(scopes.alias("scopes"), cells.alias("cells"), F.lit(1).alias("one"))

@@ -3,13 +3,340 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
+from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..config import areas
+from ..functions import hashing, parsing, text
+from ..operators import cleaning, duplicates, evaluate, geography, model, profile, rules
+from ..sources import configs
+from . import oracles as O
+from .derive import DATES, EVIDENCE, PLACES, PRICES, RECORDS, SALES, TRAINING, derived, spark_text
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+SUPPORTS = (3, 100, 450, 3000)
+HOLDOUT = 12
+_QUERIES: dict[str, Query] = {}
+
+
+def query(f: Query) -> Query:
+    _QUERIES[f.__name__] = f
+    return f
+
+
+def _both(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _fitted(spark: SparkSession, sf: str) -> tuple[model.GroupedMedians, DataFrame]:
+    rows = derived(spark, sf, SALES).withColumn("log_price", F.log("price"))
+    train, held, _ = model.temporal_split(rows, "transaction_date", HOLDOUT)
+    return model.GroupedMedians.fit(train), held
+
+
+# --- the model ---------------------------------------------------------------------------------------------
+
+
+@query
+def baseline_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    fitted, held = _fitted(spark, sf)
+    found = [evaluate.metrics(fitted.predict(held, s)).withColumn("min_group_support", F.lit(s)) for s in SUPPORTS]
+    return _both(found).select("min_group_support", "rows", F.round("mae", 2).alias("mae"), F.round("mdape", 6).alias("mdape"), F.round("log_mae", 6).alias("log_mae"))
+
+
+@query
+def baseline_backoff_counts(spark: SparkSession, sf: str) -> DataFrame:
+    fitted, held = _fitted(spark, sf)
+    return _both([evaluate.backoff_counts(fitted.predict(held, s)).withColumn("min_group_support", F.lit(s)) for s in SUPPORTS])
+
+
+@query
+def baseline_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    fitted, held = _fitted(spark, sf)
+    return fitted.predict(held, 100).select("o_orderkey", F.round("predicted_price", 2).alias("predicted_price"), "support_count", "backoff_level")
+
+
+@query
+def grouped_medians(spark: SparkSession, sf: str) -> DataFrame:
+    rows = derived(spark, sf, SALES).withColumn("log_price", F.log("price"))
+    groups = model.GroupedMedians.fit(rows).groups
+    return groups.select("level", "area", "kind", F.round("median", 9).alias("median"), "support")
+
+
+@query
+def report_payload(spark: SparkSession, sf: str) -> DataFrame:
+    fitted, held = _fitted(spark, sf)
+    asked = fitted.predict(held, 450).withColumn("asking_price", F.col("price") * 1.1)
+    bounds = evaluate.residual_interval(F.col("predicted_log_price"), F.lit(0.25))
+    out = model.report_payload(asked).withColumns(bounds)
+    return out.select(
+        "o_orderkey", F.round("asking_minus_predicted", 4).alias("gap"), F.round("asking_minus_predicted_pct", 6).alias("gap_share"), "confidence_state",
+        F.round("lower", 2).alias("lower"), F.round("upper", 2).alias("upper"),
+    )
+
+
+@query
+def confidence_states(spark: SparkSession, sf: str) -> DataFrame:
+    fitted, held = _fitted(spark, sf)
+    small = fitted.predict(held, 1)
+    return small.groupBy(model.confidence(F.col("support_count") % 20, F.col("backoff_level")).alias("confidence_state")).agg(F.count("*").alias("rows"))
+
+
+@query
+def training_filter(spark: SparkSession, sf: str) -> DataFrame:
+    rows = model.filter_training_rows(derived(spark, sf, TRAINING))
+    return rows.select("o_orderkey", "property_type", "price", F.round("log_price", 9).alias("log_price"))
+
+
+@query
+def training_filter_known_types(spark: SparkSession, sf: str) -> DataFrame:
+    return model.filter_training_rows(derived(spark, sf, TRAINING), include_unknown=False).select("o_orderkey", "property_type", "price")
+
+
+@query
+def feature_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    parts = derived(spark, sf, "SELECT p_partkey, p_brand, p_type, CASE WHEN p_size % 7 = 0 THEN NULL ELSE p_size * 5.0 END AS floor_area FROM {part}")
+    return parts.select("p_partkey", *(c.alias(n) for n, c in model.feature_snapshot(F.concat(F.lit(" "), "p_brand"), F.col("p_type"), F.col("floor_area").cast("double")).items()))
+
+
+# --- parsing -----------------------------------------------------------------------------------------------
+
+
+@query
+def date_parse_status(spark: SparkSession, sf: str) -> DataFrame:
+    day = parsing.day_first_date(F.col("date_text"))
+    return derived(spark, sf, DATES).select(
+        "o_orderkey", day.alias("transaction_date"), F.year(day).cast("long").alias("transaction_year"), parsing.date_status(F.col("date_text")).alias("date_parse_status"),
+        parsing.is_future(day, F.lit(date(1998, 1, 1))).alias("is_future_transaction"),
+    )
+
+
+@query
+def any_format_date(spark: SparkSession, sf: str) -> DataFrame:
+    return derived(spark, sf, DATES).select("o_orderkey", parsing.any_date(F.col("date_text")).alias("day"))
+
+
+@query
+def price_parse_vat(spark: SparkSession, sf: str) -> DataFrame:
+    raw, status = parsing.price(F.col("price_text")), parsing.price_status(F.col("price_text"))
+    adjusted = parsing.vat_adjusted(raw, status, parsing.vat_exclusive(F.col("vat_text")), Decimal("0.135"))
+    return derived(spark, sf, PRICES).select("o_orderkey", raw.alias("sale_price_eur_raw"), status.alias("price_parse_status"), *(c.alias(n) for n, c in adjusted.items()))
+
+
+@query
+def flag_maps(spark: SparkSession, sf: str) -> DataFrame:
+    market, vat = F.col("market_text"), F.col("vat_text")
+    return derived(spark, sf, PRICES).select(
+        "o_orderkey", parsing.full_market(market).alias("is_full_market_price"), parsing.full_market_status(market).alias("market_status"),
+        parsing.vat_exclusive(vat).alias("vat_exclusive_flag"), parsing.vat_status(vat).alias("vat_status"),
+    )
+
+
+@query
+def description_map(spark: SparkSession, sf: str) -> DataFrame:
+    described = text.blank_to_null(F.col("description_text"))
+    return derived(spark, sf, PRICES).select("o_orderkey", described.alias("description"), *(c.alias(n) for n, c in parsing.description(described).items()))
+
+
+# --- text and geography ------------------------------------------------------------------------------------
+
+
+def _places(spark: SparkSession, sf: str) -> DataFrame:
+    return derived(spark, sf, spark_text(PLACES))
+
+
+@query
+def normalise_text(spark: SparkSession, sf: str) -> DataFrame:
+    return _places(spark, sf).select("p_partkey", text.normalise(F.col("raw_address")).alias("tidy"), text.fold(text.normalise(F.col("raw_address"))).alias("folded"))
+
+
+@query
+def address_fields(spark: SparkSession, sf: str) -> DataFrame:
+    return geography.normalise_addresses(_places(spark, sf)).select("p_partkey", *geography.ADDRESS_FIELDS)
+
+
+def _mapped(spark: SparkSession, sf: str) -> DataFrame:
+    return geography.map_areas(geography.normalise_addresses(_places(spark, sf)), configs.read_aliases())
+
+
+@query
+def area_match(spark: SparkSession, sf: str) -> DataFrame:
+    return _mapped(spark, sf).select("p_partkey", *geography.GEOGRAPHY_FIELDS)
+
+
+@query
+def area_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    dated = _mapped(spark, sf).withColumn("transaction_date", F.date_add(F.lit(date(2020, 1, 1)), (F.col("p_partkey") % 1000).cast("int")))
+    return profile.area_coverage(dated, list(areas.SCOPE_BY_AREA))
+
+
+@query
+def manual_override(spark: SparkSession, sf: str) -> DataFrame:
+    decided = [configs.Override(str(k), "Ranelagh", "inference") for k in (8, 17, 40, 99)]
+    mapped = geography.apply_overrides(_mapped(spark, sf), decided)
+    return mapped.select("p_partkey", "canonical_area", "geo_scope", "geography_match_status", "matched_aliases")
+
+
+@query
+def alias_summary(spark: SparkSession, sf: str) -> DataFrame:
+    matched = _mapped(spark, sf).where("geography_match_status = 'matched'")
+    return profile.group_counts(matched, ["canonical_area", "geography_match_alias", "geography_match_method", "geography_match_priority", "geo_scope"])
+
+
+@query
+def multi_property_rules(spark: SparkSession, sf: str) -> DataFrame:
+    tidy = _places(spark, sf).withColumn("address_normalized", text.normalise(F.col("raw_address")))
+    return rules.assess_multi_property(tidy, configs.read_rules(spark)).select("p_partkey", *rules.MULTI_PROPERTY_FIELDS)
+
+
+@query
+def property_scope(spark: SparkSession, sf: str) -> DataFrame:
+    tidy = _places(spark, sf).withColumn("address_normalized", text.normalise(F.col("raw_address")))
+    return rules.assess_scope(tidy).select("p_partkey", *rules.SCOPE_FIELDS)
+
+
+@query
+def literal_contains(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.containing(_places(spark, sf), "raw_address", ["BLOCK", "ranelagh"]).select("p_partkey")
+
+
+# --- identifiers and duplicates ----------------------------------------------------------------------------
+
+
+@query
+def content_hashes(spark: SparkSession, sf: str) -> DataFrame:
+    orders = derived(spark, sf, "SELECT o_orderkey, o_orderstatus, o_orderpriority, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderstatus END AS gap FROM {orders}")
+    return orders.select(
+        "o_orderkey",
+        hashing.record_id(F.lit("ppr"), F.lit("abc"), F.col("o_orderkey")).alias("record_id"),
+        hashing.fingerprint({"b": F.col("o_orderpriority"), "a": F.col("gap")}).alias("fingerprint"),
+        hashing.group_id("exact", {"s": F.col("gap"), "p": F.col("o_orderpriority")}).alias("group_id"),
+    )
+
+
+@query
+def duplicate_tiers(spark: SparkSession, sf: str) -> DataFrame:
+    return duplicates.assess_duplicates(derived(spark, sf, RECORDS)).select("record_id", *duplicates.DUPLICATE_FIELDS)
+
+
+@query
+def duplicate_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.group_rows_and_ids(duplicates.assess_duplicates(derived(spark, sf, RECORDS)), ["duplicate_status", "duplicate_action"], "duplicate_group_id")
+
+
+@query
+def duplicate_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.duplicate_key_metrics(derived(spark, sf, RECORDS), "raw_record_fingerprint")
+
+
+@query
+def repeated_keys(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.repeated_key_rows(derived(spark, sf, "SELECT l_orderkey FROM {lineitem}"), "l_orderkey")
+
+
+# --- cleaning and audits -----------------------------------------------------------------------------------
+
+
+def _assessed(spark: SparkSession, sf: str) -> DataFrame:
+    return cleaning.assess_cleaning(derived(spark, sf, EVIDENCE))
+
+
+@query
+def exclusion_reasons(spark: SparkSession, sf: str) -> DataFrame:
+    return _assessed(spark, sf).select("o_orderkey", "exclude_from_training", "exclusion_reason", "exclusion_reasons", "exclusion_rule_ids", "cleaning_assessment_status")
+
+
+@query
+def quality_flags(spark: SparkSession, sf: str) -> DataFrame:
+    return _assessed(spark, sf).select("o_orderkey", "quality_flags")
+
+
+@query
+def value_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.value_counts(_assessed(spark, sf), "exclusion_reason")
+
+
+@query
+def value_counts_top(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.value_counts(derived(spark, sf, "SELECT o_custkey FROM {orders}"), "o_custkey", top=25)
+
+
+@query
+def token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.token_counts(_assessed(spark, sf), "address_quality_flags", "no_flags")
+
+
+@query
+def reason_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.reason_summary(_assessed(spark, sf))
+
+
+@query
+def long_profile(spark: SparkSession, sf: str) -> DataFrame:
+    out = profile.long_profile(_assessed(spark, sf), ["geo_scope", "exclusion_reason", "duplicate_status", "is_full_market_price"], ["quality_flags"])
+    return out.withColumn("percent", F.round("percent", 6))
+
+
+@query
+def stage_funnel(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.stage_funnel(_assessed(spark, sf))
+
+
+@query
+def reason_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.percent_of_total(profile.reason_histogram(_assessed(spark, sf))).withColumn("percent", F.round("percent", 6))
+
+
+@query
+def reason_combinations(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.reason_combinations(_assessed(spark, sf))
+
+
+@query
+def rule_evidence(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.rule_evidence(_assessed(spark, sf), {"exclusion_rule_ids": [r for _, r in cleaning.REASONS] + ["CLEAN999"]})
+
+
+@query
+def aligned_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.aligned_counts(_assessed(spark, sf), "duplicate_action")
+
+
+@query
+def null_profile(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.null_profile(derived(spark, sf, EVIDENCE).select("record_id", "transaction_date", "is_full_market_price", "geo_scope", "geography_quality_flags")).drop("type")
+
+
+@query
+def scalar_counts(spark: SparkSession, sf: str) -> DataFrame:
+    c = F.col
+    return profile.scalar_counts(
+        derived(spark, sf, EVIDENCE), matched=c("geography_match_status") == "matched", not_parsed=c("price_parse_status") != "parsed",
+        in_set=c("geo_scope").isin("inference", "unknown"), is_true=c("is_full_market_price"), not_in_set=~text.is_true(c("full_market_price_mapping_status").isin("mapped_full_market")),
+    )
+
+
+@query
+def stable_sample(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.stable_sample(derived(spark, sf, "SELECT c_custkey, c_name, c_mktsegment FROM {customer}"), 40, ["c_mktsegment", "c_custkey"])
+
+
+@query
+def included_and_excluded(spark: SparkSession, sf: str) -> DataFrame:
+    """Both sides of the split by semi and anti join, which together are all records."""
+    all_rows = derived(spark, sf, EVIDENCE).select("o_orderkey")
+    out = _assessed(spark, sf).where("exclude_from_training").select("o_orderkey")
+    side = lambda how, name: all_rows.join(out, "o_orderkey", how).select("o_orderkey", F.lit(name).alias("side"))
+    return side("left_semi", "excluded").unionByName(side("left_anti", "included"))
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return O.statements(SUPPORTS, HOLDOUT)

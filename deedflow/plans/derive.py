@@ -101,7 +101,7 @@ def values(rows: list[tuple], alias: str) -> str:
 
 def spark_text(sql: str) -> str:
     """Spark escapes quotes in literals by a backslash."""
-    return sql.replace("''", "\\'")
+    return re.sub(r"(?<=\w)''(?=\w)", r"\\'", sql)
 
 
 PLACES = (
