@@ -20,19 +20,21 @@ symbol costs its share of the alphabet; repeated rows get equal scores; an empty
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import trie
-from .runtime import ship, written
+from .runtime import durable, ship, trim, written
 
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
+SCORE_BYTES = 4 << 20
 ORDER = 5
 WINDOWS = 3_000_000
 
@@ -55,8 +57,9 @@ def blocks(texts: pa.Array, most: int = BLOCK_BYTES) -> Iterator[tuple[int, int]
 def coded(texts: pa.Array, train: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct words by falling frequency, the end of a text (empty word) first; their counts in training; words of each text; all codes."""
     lists = pc.ascii_split_whitespace(texts)
-    row = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    row = np.repeat(np.arange(len(texts), dtype=np.int32), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
     flat = lists.flatten().dictionary_encode()
+    del lists
     code, vocab = flat.indices.to_numpy(zero_copy_only=False), flat.dictionary
     real = pc.not_equal(vocab, "").to_numpy(zero_copy_only=False)
     if not real.all():
@@ -65,8 +68,8 @@ def coded(texts: pa.Array, train: np.ndarray) -> tuple[pa.Array, np.ndarray, np.
     total = np.bincount(code, minlength=len(vocab))
     order = np.argsort(-total, kind="stable")
     order = order[real[order]]
-    place = np.zeros(len(vocab), np.int64)
-    place[order] = np.arange(1, len(order) + 1)
+    place = np.zeros(len(vocab), np.int32)
+    place[order] = np.arange(1, len(order) + 1, dtype=np.int32)
     learned = np.bincount(code[train[row]], minlength=len(vocab))[order]
     words = pa.concat_arrays([pa.array([""], vocab.type), vocab.take(pa.array(order))])
     return words, np.concatenate(([int(train.sum())], learned)), np.bincount(row, minlength=len(texts)), place[code]
@@ -85,45 +88,66 @@ def unpacked(data: bytes, n: int) -> np.ndarray:
     return both[:n].astype(np.int64) | (both[n:].astype(np.int64) << 16)
 
 
-ROW = "kind int, block string, ids array<{id}>, hashes array<long>, sizes array<long>, data binary, words array<string>, keys array<long>, counts array<long>"
+ROW = "kind int, block long, ids array<{id}>, hashes array<long>, sizes array<long>, data binary, at int, words array<string>, keys array<long>, counts array<long>"
+#: Lists are sent in rows of so many items, which keeps rows small where they are taken apart.
+ITEMS = 1 << 14
 
 
 def _gather(schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def row(**have) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([have.get(f.name)], f.type) for f in schema], schema=schema)
+        def rows(*some: dict) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([r.get(f.name) for r in some], f.type) for f in schema], schema=schema)
 
+        trim()
         for batch in batches:
+            windows: tuple[list, list] = ([], [])
             for at, n in blocks(batch.column(3)):
                 ids, hashes, train, raw = (batch.column(i).slice(at, n) for i in range(4))
                 texts, learn = lowered(raw), train.to_numpy(zero_copy_only=False)
-                block = uuid.uuid4().hex
+                block = uuid.uuid4().int >> 65
                 words, counts, sizes, codes = coded(texts, learn)
-                yield row(kind=0, block=block, ids=ids.to_pylist(), hashes=hashes.to_numpy(), sizes=sizes, data=packed(codes))
-                yield row(kind=1, block=block, words=words, counts=counts)
-                used = texts.filter(pa.array(learn)).cast(pa.binary()).to_pylist()
-                keys, seen = trie.grams(trie.joined(used, ORDER)[0], ORDER)
-                yield row(kind=2, keys=keys.astype(np.int64), counts=seen)
+                data = packed(codes)
+                del codes
+                yield rows({"kind": 0, "block": block, "ids": ids.to_pylist(), "hashes": hashes.to_numpy(), "sizes": sizes, "data": data})
+                for i in range(0, len(words), ITEMS):
+                    yield rows({"kind": 1, "block": block, "at": i, "words": words.slice(i, ITEMS), "counts": counts[i : i + ITEMS]})
+                del words, counts, data
+                whole = trie.joined(texts.filter(pa.array(learn)).cast(pa.binary()).to_pylist(), ORDER)[0]
+                del texts
+                for found, kept in zip(trie.grams(whole, ORDER), windows):
+                    kept.append(found)
+                del whole
+                trim()
+            keys, seen = trie.summed(*windows)
+            for i in range(0, len(keys), ITEMS):
+                yield rows({"kind": 2, "keys": keys[i : i + ITEMS].astype(np.int64), "counts": seen[i : i + ITEMS]})
+            del keys, seen, windows
+            trim()
 
     return run
 
 
-def _baseline(tokens: int, distinct: int, schema: pa.Schema):
+def _baseline(schema: pa.Schema):
+    """Blocks with their answers to sums of log10(c + 1), without the denominator that is the same for all tokens."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                ids, hashes, sizes, data, answers = (batch.column(j).slice(i, 1) for j in range(5))
+                ids, hashes, sizes, data, local, count, new = (batch.column(j).slice(i, 1) for j in range(7))
                 size = sizes.flatten().to_numpy(zero_copy_only=False)
-                struct = answers.flatten()
-                local, count = (struct.field(j).to_numpy(zero_copy_only=False) for j in range(2))
-                c = np.zeros(len(local), np.int64)
-                c[local] = count
-                logs = np.log10((c + 1) / (tokens + distinct + 1))
-                row = np.repeat(np.arange(len(size)), size)
+                at = local.flatten().to_numpy(zero_copy_only=False)
+                c = np.zeros(len(at), np.int64)
+                c[at] = count.flatten().to_numpy(zero_copy_only=False)
+                logs = np.log10(c + 1.0)
+                row = np.repeat(np.arange(len(size), dtype=np.int32), size)
                 codes = unpacked(data[0].as_py(), int(size.sum()))
                 base = np.bincount(row, weights=logs[codes], minlength=len(size)) + logs[0]
                 known = np.bincount(row, weights=(c > 0)[codes], minlength=len(size)) + (c[0] > 0)
-                yield pa.RecordBatch.from_arrays([ids.flatten(), hashes.flatten(), pa.array(size + 1), pa.array(known.astype(np.int64)), pa.array(base)], schema=schema)
+                fresh = np.zeros(len(size), np.int64)
+                fresh[0] = new[0].as_py()
+                yield pa.RecordBatch.from_arrays([ids.flatten(), hashes.flatten(), pa.array(size + 1), pa.array(known.astype(np.int64)), pa.array(base), pa.array(fresh)], schema=schema)
+                del codes, row
+            trim()
 
     return run
 
@@ -147,14 +171,21 @@ def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
     kind = rows.schema["doc_id"].dataType.simpleString()
     shape = ROW.format(id=kind)
     gathered = written(rows.mapInArrow(_gather(_arrow(rows, shape)), shape))
-    asked = gathered.where("kind = 1").select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("local", "w")).select("block", "local", "w.words", "w.counts")
-    counts = written(asked.groupBy("words").agg(F.sum("counts").alias("c")))
-    tokens, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
-    answers = asked.join(counts, "words").groupBy("block").agg(F.collect_list(F.struct("local", "c")).alias("answers"))
+    asked = gathered.where("kind = 1").select("block", "at", F.posexplode(F.arrays_zip("words", "counts")).alias("i", "w"))
+    asked = asked.select("block", (F.col("at") + F.col("i")).alias("local"), F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
+    # a word is in a block once, so a word has as many rows as blocks at most; it is new where its block comes first
+    same = Window.partitionBy("word")
+    counted = asked.select("block", "local", F.sum("n").over(same).alias("c"), (F.col("block") == F.min("block").over(same)).alias("first"))
+    answers = counted.groupBy("block").agg(
+        F.collect_list("local").alias("locals"), F.collect_list("c").alias("counts"), F.count_if(F.col("first") & (F.col("c") > 0)).alias("new")
+    )
     texts = gathered.where("kind = 0").select("block", "ids", "hashes", "sizes", "data")
-    joined = texts.join(answers, "block").select("ids", "hashes", "sizes", "data", "answers")
-    out = f"doc_id {kind}, hash long, n_tokens long, n_known long, base_score double"
-    base = joined.mapInArrow(_baseline(tokens, distinct, _arrow(rows, out)), out).dropDuplicates(["doc_id", "hash"])
+    joined = texts.join(answers, "block").select("ids", "hashes", "sizes", "data", "locals", "counts", "new")
+    out = f"doc_id {kind}, hash long, n_tokens long, n_known long, logs double, new long"
+    sums = durable(joined.mapInArrow(_baseline(_arrow(rows, out)), out))
+    distinct = sums.agg(F.coalesce(F.sum("new"), F.lit(0))).first()[0]
+    tokens = gathered.where("kind = 1").agg(F.coalesce(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda x, y: x + y)), F.lit(0))).first()[0]
+    base = sums.dropDuplicates(["doc_id", "hash"]).withColumn("base_score", F.col("logs") - F.col("n_tokens") * F.lit(math.log10(tokens + distinct + 1)))
     grams = gathered.where("kind = 2").select(F.explode(F.arrays_zip("keys", "counts")).alias("g")).groupBy(F.col("g.keys").alias("gram")).agg(F.sum("g.counts").alias("n"))
     model = docs.sparkSession.sparkContext.broadcast(model_of(written(grams)).state())
     scored = f"doc_id {kind}, hash long, held_out boolean, score double"
@@ -162,9 +193,11 @@ def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
     def code_lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frozen = trie.Trie.of(model.value)
         for batch in batches:
-            values = frozen.scores(lowered(batch.column(3)).cast(pa.binary()).to_pylist())
+            parts = [frozen.scores(lowered(batch.column(3).slice(at, n)).cast(pa.binary()).to_pylist()) for at, n in blocks(batch.column(3), SCORE_BYTES)]
+            values = np.concatenate(parts) if parts else np.zeros(0)
             held = pc.invert(batch.column(2))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), held, pa.array(values)], names=["doc_id", "hash", "held_out", "score"])
+        trim()
 
     lengths = rows.mapInArrow(code_lengths, scored)
     b = base.select(F.col("doc_id").alias("d"), F.col("hash").alias("h"), "n_tokens", "n_known", "base_score")

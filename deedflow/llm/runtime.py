@@ -48,7 +48,7 @@ def written(df: DataFrame) -> DataFrame:
     The table lies beside the checkpoints and goes when that folder is cleared.
     """
     path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -56,6 +56,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def trim() -> None:
+    """Give freed memory of a Python worker back to the system, as workers live on between tasks."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # not glibc
+
+
 def crc32_mod(column: str, modulus: int):
     """``crc32(column as text) mod modulus``; a null counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
@@ -71,3 +86,6 @@ def fresh(df: DataFrame, *stems: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+ship(__name__)

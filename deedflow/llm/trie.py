@@ -18,7 +18,7 @@ from .ppm import ALPHABET, BOS, EOS
 from .runtime import ship
 
 MOST_ORDER = 6
-PIECE = 1 << 19
+PIECE = 1 << 18
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -43,7 +43,7 @@ def windows(part: np.ndarray, order: int) -> np.ndarray:
     return key
 
 
-def grams(whole: np.ndarray, order: int, piece: int = 1 << 23) -> tuple[np.ndarray, np.ndarray]:
+def grams(whole: np.ndarray, order: int, piece: int = 1 << 21) -> tuple[np.ndarray, np.ndarray]:
     """Distinct windows that end in a symbol, and their counts."""
     keys, counts = [], []
     for at in range(0, max(0, len(whole) - order), piece):
