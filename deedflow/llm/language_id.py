@@ -25,6 +25,7 @@ from . import ppm
 from .runtime import durable, ship
 
 SAMPLE = 400
+SLICES = 64
 #: Sample keys up to this number are sent to every executor; more are joined by a shuffle.
 BROADCAST_ROWS = 200_000
 UNKNOWN = "und"
@@ -54,9 +55,11 @@ def learn(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
     """Languages in order and their common model; ``train`` tells the rows that may be learned from."""
     rows = docs.where(F.coalesce(train, F.lit(False)) & F.col(lang).isNotNull() & F.col(text).isNotNull())
     order = F.xxhash64(F.col(doc_id), F.col(lang))
-    best = Window.partitionBy("lang").orderBy("order")
-    chosen = rows.select(F.col(lang).alias("lang"), order.alias("order")).withColumn("rank", F.row_number().over(best))
-    chosen = durable(chosen.where(F.col("rank") <= sample).select("order").distinct())
+    # a language may hold most rows: slices of it first, so that one task gets SLICES x sample rows at most
+    keys = rows.select(F.col(lang).alias("lang"), order.alias("order"))
+    for part in (["lang", F.pmod("order", F.lit(SLICES))], ["lang"]):
+        keys = keys.withColumn("rank", F.row_number().over(Window.partitionBy(*part).orderBy("order"))).where(F.col("rank") <= sample).drop("rank")
+    chosen = durable(keys.select("order").distinct())
     few = chosen.count() <= BROADCAST_ROWS
     texts = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"), order.alias("order"))
     picked = texts.join(F.broadcast(chosen) if few else chosen, "order", "left_semi").select("lang", "text")
