@@ -136,6 +136,38 @@ def chunks(texts: pa.Array, most: int = CHUNK) -> Iterator[tuple[int, int]]:
         at = to
 
 
+def pieces(text: str, most: int = CHUNK) -> Iterator[tuple[bytes, int, int]]:
+    """A very long text in pieces, each with the last tokens of the one before at its head.
+
+    Yields the piece, how many tokens its head has, and the number of the text's tokens before the head.
+    """
+    data, at, head, known, before = text.encode("utf-8", "surrogatepass"), 0, b"", 0, 0
+    while at < len(data):
+        end = at + most
+        while end < len(data) and data[end] not in b" \t\n\v\f\r":
+            end += 1
+        piece = head + data[at:end]
+        yield piece, known, before
+        total = before + len(tokens(pa.array([piece.decode("utf-8", "replace")]))[0])
+        words = 4 * WINDOW
+        while True:
+            parts = piece.rsplit(None, words)
+            head = b" ".join(parts[-words:]) + b" "
+            known = len(tokens(pa.array([head.decode("utf-8", "replace")]))[0])
+            if known > WINDOW or len(parts) <= words:
+                break
+            words *= 2
+        before, at = total - known, end
+
+
+def _windows_of_pieces(text: str, lengths: list[int], bitmap: np.ndarray | None, most: int = CHUNK) -> Iterator[dict[str, np.ndarray]]:
+    for piece, known, before in pieces(text, most):
+        got = windows(pa.array([piece.decode("utf-8", "replace")]), lengths, bitmap)
+        new = got["pos"] + got["length"] > known
+        got = {k: v[new] for k, v in got.items()}
+        yield got | {"pos": got["pos"] + before}
+
+
 def _window_rows(lengths: list[int] | None, bitmap: np.ndarray | None):
     """Arrow batches of keys and a text (last) to a row for each window."""
 
@@ -144,18 +176,23 @@ def _window_rows(lengths: list[int] | None, bitmap: np.ndarray | None):
             texts = batch.column(batch.num_columns - 1)
             for at, n in chunks(texts):
                 part = texts.slice(at, n)
-                got = windows(part, lengths or [*range(LITERALS, WINDOW + 1)], bitmap)
                 if lengths is None:  # a benchmark: items shorter than a window are one window
+                    got = windows(part, [*range(LITERALS, WINDOW + 1)], bitmap)
                     own = got["length"] == np.minimum(got["n"], WINDOW)
-                    got = {k: v[own] for k, v in got.items()}
-                row = pa.array(got["row"] + at)
-                keys = [batch.column(i).take(row) for i in range(batch.num_columns - 1)]
-                flat = pa.array(got["slots"].reshape(-1).view(np.int64))
-                slots = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, WINDOW), pa.int32()), flat)
-                yield pa.RecordBatch.from_arrays(
-                    [*keys, pa.array(got["hash"].view(np.int64)), pa.array(got["pos"].astype(np.int64)), pa.array(got["n"].astype(np.int64)), slots],
-                    names=[*batch.schema.names[:-1], "hash", "pos", "n", "slots"],
-                )
+                    found = [{k: v[own] for k, v in got.items()}]
+                elif n == 1 and (pc.binary_length(part)[0].as_py() or 0) > 2 * CHUNK:
+                    found = _windows_of_pieces(part[0].as_py(), lengths, bitmap)
+                else:
+                    found = [windows(part, lengths, bitmap)]
+                for got in found:
+                    row = pa.array(got["row"] + at)
+                    keys = [batch.column(i).take(row) for i in range(batch.num_columns - 1)]
+                    flat = pa.array(got["slots"].reshape(-1).view(np.int64))
+                    slots = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, WINDOW), pa.int32()), flat)
+                    yield pa.RecordBatch.from_arrays(
+                        [*keys, pa.array(got["hash"].view(np.int64)), pa.array(got["pos"].astype(np.int64)), pa.array(got["n"].astype(np.int64)), slots],
+                        names=[*batch.schema.names[:-1], "hash", "pos", "n", "slots"],
+                    )
 
     return run
 
