@@ -130,7 +130,7 @@ def links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFram
     whole = F.col("all") <= tile
     dealt = blocks.join(counts.select("block", "ones", "n", "all"), ["block", "ones"])
     dealt = dealt.withColumn("level", F.when(whole, -1).otherwise(F.col("ones")))
-    dealt = dealt.withColumn("part", F.when(whole, 0).otherwise(F.pmod(F.xxhash64(F.col("fp") * 31), F.ceil(F.col("n") / tile))))
+    dealt = dealt.withColumn("part", F.when(whole, 0).otherwise(F.pmod(F.xxhash64("fp", F.lit(1)), F.ceil(F.col("n") / tile))))
     tiles = dealt.groupBy("block", "level", "part").agg(F.collect_list("fp").alias("fps"), F.max("all").alias("all"))
     tiles = durable(tiles)
     alone = tiles.select(F.col("fps").alias("a"), F.lit(None).cast("array<long>").alias("b"))
