@@ -73,11 +73,12 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
         measure = digits & ~number & flag(pc.match_substring_regex(core, MEASURE))
     unit = flag(pc.is_in(core, value_set=pa.array(UNITS, core.type)))
     percent = number & flag(pc.match_substring(vocab, "%"))
+    number, measure = number & ~percent, measure | percent
     title = flag(pc.match_substring_regex(bare, r"^\p{Lu}.*\p{Ll}"))
     ending = flag(pc.match_substring_regex(vocab, r"[.!?:]['\")»”’]*$"))
     value = pd.util.hash_array(core.to_numpy(zero_copy_only=False), categorize=False) if len(core) else np.zeros(0, np.uint64)
     value = np.where(value == 0, np.uint64(1), value)
-    plain = np.where(number, _TYPES["number"], np.where(measure | percent, _TYPES["measure"], value))
+    plain = np.where(number, _TYPES["number"], np.where(measure, _TYPES["measure"], value))
     kept = flag(pc.not_equal(core, ""))[code] if len(vocab) else np.zeros(0, bool)
     first = np.ones(len(row), bool)
     first[1:] = (row[1:] != row[:-1]) | ending[code[:-1]]
