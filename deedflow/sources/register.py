@@ -6,9 +6,7 @@ character) and the C1 characters are translated; what Windows-1252 leaves undefi
 
 from __future__ import annotations
 
-import csv
 import hashlib
-import io
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -60,12 +58,15 @@ def file_sha256(spark: SparkSession, path: str) -> str:
 
 
 def read_header(spark: SparkSession, path: str) -> list[str]:
-    first = spark.read.option("encoding", "ISO-8859-1").text(path).first()
-    if first is None or not first[0]:
+    """The cells of the first record."""
+    options = {"header": False, "encoding": "ISO-8859-1", "multiLine": False, "quote": '"', "escape": '"'}
+    first = spark.read.options(**options).csv(path).first()
+    if first is None or len(first) == 0:
         raise SourceSchemaError("the source file is empty")
-    if any(ch in _UNDEFINED for ch in first[0]):
+    cells = [c or "" for c in first]
+    if any(ch in _UNDEFINED for c in cells for ch in c):
         raise SourceDecodeError("the header is not valid cp1252")
-    return next(csv.reader(io.StringIO(first[0].translate(str.maketrans(_FROM, _TO)))))
+    return [c.translate(str.maketrans(_FROM, _TO)) for c in cells]
 
 
 def validate_header(columns: Sequence[str]) -> list[str]:
