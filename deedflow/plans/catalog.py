@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from ..config import areas
 from ..functions import hashing, parsing, text
 from ..operators import cleaning, duplicates, evaluate, geography, model, profile, rules
-from ..sources import configs
+from ..sources import configs, register
 from . import oracles as O
-from .derive import DATES, EVIDENCE, PLACES, PRICES, RECORDS, SALES, TRAINING, derived, spark_text
+from .derive import DATES, EVIDENCE, PLACES, PRICES, RECORDS, REGISTER, SALES, TRAINING, derived, spark_text
 
 Query = Callable[[SparkSession, str], DataFrame]
 SUPPORTS = (3, 100, 450, 3000)
@@ -142,6 +142,24 @@ def description_map(spark: SparkSession, sf: str) -> DataFrame:
     return derived(spark, sf, PRICES).select("o_orderkey", described.alias("description"), *(c.alias(n) for n, c in parsing.description(described).items()))
 
 
+def _raw_register(spark: SparkSession, sf: str) -> DataFrame:
+    return derived(spark, sf, REGISTER).toDF(*register.REQUIRED)
+
+
+@query
+def standardised_register(spark: SparkSession, sf: str) -> DataFrame:
+    config = register.RegisterConfig("orders", date(2000, 1, 1))
+    whole = register.standardise(_raw_register(spark, sf), config, "0" * 64)
+    own = ("source_row_number", "record_id")  # they depend on the scan's order and have a query and tests of their own
+    return whole.drop(*own, *(c for c in whole.columns if c.startswith(register.RAW_PREFIX)))
+
+
+@query
+def row_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    numbered = register.number_rows(derived(spark, sf, "SELECT o_orderkey FROM {orders}"))
+    return numbered.agg(F.min("source_row_number").alias("least"), F.max("source_row_number").alias("most"), F.count_distinct("source_row_number").alias("numbers"))
+
+
 # --- text and geography ------------------------------------------------------------------------------------
 
 

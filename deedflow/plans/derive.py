@@ -57,6 +57,16 @@ SELECT o_orderkey,
 FROM {orders}
 """
 
+#: Raw register rows; the columns get the register's names in ``catalog``.
+REGISTER = """
+SELECT CASE o_orderkey % 4 WHEN 1 THEN ' ' WHEN 2 THEN CAST(d AS STRING) ELSE concat(CAST(day(d) AS STRING), '/', CAST(month(d) AS STRING), '/', CAST(year(d) AS STRING)) END AS c1,
+       concat(CAST(o_custkey AS STRING), ' Main Street, Ranelagh') AS c2, CASE o_orderkey % 3 WHEN 0 THEN 'Dublin' WHEN 1 THEN 'Cork' ELSE '' END AS c3,
+       CASE WHEN o_orderkey % 5 = 0 THEN 'D06 XY00' ELSE '' END AS c4, CASE o_orderkey % 6 WHEN 0 THEN '' WHEN 1 THEN 'n/a' ELSE concat('€', CAST(o_orderkey AS STRING), ',500.25') END AS c5,
+       CASE o_orderkey % 5 WHEN 0 THEN 'Yes' WHEN 1 THEN '' ELSE 'No' END AS c6, CASE o_orderkey % 7 WHEN 0 THEN 'Yes' WHEN 1 THEN '?' ELSE 'No' END AS c7,
+       CASE o_orderkey % 3 WHEN 0 THEN 'New Dwelling house /Apartment' WHEN 1 THEN '' ELSE 'Villa' END AS c8, CASE WHEN o_orderkey % 8 = 0 THEN 'greater than 38 sq metres' ELSE '' END AS c9
+FROM (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS d FROM {orders}) AS dated
+"""
+
 #: (address, county) of the address queries; each part gets one of them.
 ADDRESSES = (
     ("1 Main Street, Ranelagh, Dublin 6", "Dublin"),

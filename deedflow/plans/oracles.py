@@ -5,8 +5,8 @@ from __future__ import annotations
 from ..config import areas
 from ..functions import parsing, text
 from ..operators import cleaning, geography, profile, rules
-from ..sources import configs
-from .derive import DATES, EVIDENCE, PLACES, PRICES, RECORDS, SALES, TRAINING, plain, values
+from ..sources import configs, register
+from .derive import DATES, EVIDENCE, PLACES, PRICES, RECORDS, REGISTER, SALES, TRAINING, plain, values
 
 KINDS = ", ".join(f"'{k}'" for k in parsing.PROPERTY_TYPES)
 
@@ -85,6 +85,33 @@ FROM texts LEFT JOIN known ON description = t
 """
 
 
+def _register() -> str:
+    pairs = sorted((name, f"c{i}") for i, name in enumerate(register.REQUIRED, 1))
+    # the values hold no character that JSON escapes
+    payload = " || ',' || ".join(f"""'["{name}","' || {c} || '"]'""" for name, c in pairs)
+    return f"""
+WITH raw AS ({plain(REGISTER)}),
+n AS (SELECT *, CASE WHEN trim(c4) <> '' THEN c4 END AS eircode, CASE WHEN trim(c6) <> '' THEN c6 END AS market, CASE WHEN trim(c7) <> '' THEN c7 END AS vat, CASE WHEN trim(c8) <> '' THEN c8 END AS kind,
+             CASE WHEN trim(c9) <> '' THEN c9 END AS size, try_strptime(c1, '%d/%m/%Y')::DATE AS d, TRY_CAST(replace(replace(c5, '€', ''), ',', '') AS DECIMAL(18,2)) AS p FROM raw)
+SELECT 'ppr' AS source_name, DATE '2000-01-01' AS source_snapshot_date, repeat('0', 64) AS source_file_sha256, sha256('[' || {payload} || ']') AS raw_record_fingerprint,
+       c1 AS transaction_date_raw, d AS transaction_date, year(d) AS transaction_year, CASE WHEN d IS NOT NULL THEN 'parsed' WHEN trim(c1) = '' THEN 'missing' ELSE 'invalid' END AS date_parse_status,
+       d > DATE '2000-01-01' AS is_future_transaction, c2 AS raw_address, c3 AS county_raw, eircode AS eircode_raw, c5 AS sale_price_eur_raw_text, p AS sale_price_eur_raw,
+       CASE WHEN c5 = '' THEN 'missing' WHEN p IS NULL THEN 'invalid' ELSE 'parsed' END AS price_parse_status,
+       market AS not_full_market_price_raw, CASE market WHEN 'No' THEN true WHEN 'Yes' THEN false END AS is_full_market_price,
+       CASE WHEN market IS NULL THEN 'missing' WHEN market = 'No' THEN 'mapped_full_market' ELSE 'mapped_not_full_market' END AS full_market_price_mapping_status,
+       vat AS vat_exclusive_raw, CASE vat WHEN 'Yes' THEN true WHEN 'No' THEN false END AS vat_exclusive_flag,
+       CASE vat WHEN 'Yes' THEN 'mapped_vat_exclusive' WHEN 'No' THEN 'mapped_vat_inclusive' ELSE 'unrecognised' END AS vat_mapping_status,
+       CASE WHEN p IS NULL OR vat = '?' THEN NULL WHEN vat = 'Yes' THEN CAST(0.135 AS DECIMAL(5,3)) ELSE CAST(0 AS DECIMAL(5,3)) END AS vat_rate_applied,
+       CASE WHEN p IS NULL OR vat = '?' THEN NULL WHEN vat = 'Yes' THEN CAST((CAST(p * 100 AS BIGINT) * 1135 + 500) // 1000 AS DECIMAL(18,0)) / CAST(100 AS DECIMAL(18,0)) ELSE p END::DECIMAL(18,2) AS sale_price_eur_adjusted,
+       CASE WHEN p IS NULL THEN 'invalid_raw_price' WHEN vat = '?' THEN 'unresolved_vat_flag' WHEN vat = 'Yes' THEN 'provisional_house_vat_13_5_percent' ELSE 'none' END AS sale_price_adjustment_method,
+       kind AS property_description_raw, CASE WHEN kind LIKE 'New%' THEN 'new_dwelling' ELSE 'unknown' END AS property_description_normalized,
+       CASE WHEN kind IS NULL THEN 'missing' WHEN kind LIKE 'New%' THEN 'exact_source_value_mapping' ELSE 'unrecognised' END AS property_description_mapping_method,
+       CASE WHEN kind LIKE 'New%' THEN true END AS is_new_build, 'unknown' AS property_type, 'unknown' AS property_type_source, 'ppr_house_apartment_ambiguous' AS property_type_quality_flag,
+       size AS property_size_description_raw, size AS property_size_bucket_source, NULL::DOUBLE AS floor_area_sqm
+FROM n
+"""
+
+
 def _tidy() -> str:
     c = f"translate(raw_address, '{text.APOSTROPHES}{text.DASHES}', '{"''" * len(text.APOSTROPHES)}{'-' * len(text.DASHES)}')"
     c = _trim(f"upper({c})")
@@ -331,6 +358,8 @@ def statements(supports: tuple[int, ...], holdout: int) -> dict[str, str]:
         "price_parse_vat": PRICE_SQL,
         "flag_maps": FLAG_SQL,
         "description_map": DESCRIPTION_SQL,
+        "standardised_register": _register(),
+        "row_numbers": "SELECT 1 AS least, count(*) AS most, count(*) AS numbers FROM orders",
         "normalise_text": f"WITH places AS ({plain(PLACES)}) SELECT p_partkey, {_tidy()} AS tidy, strip_accents({_tidy()}) AS folded FROM places",
         "address_fields": f"WITH {ADDRESS_CTE} SELECT p_partkey, {', '.join(geography.ADDRESS_FIELDS)} FROM addressed",
         "area_match": _areas() + "SELECT * FROM mapped",
