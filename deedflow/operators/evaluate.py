@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import asdict, dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,6 +49,38 @@ def backoff_counts(predictions: DataFrame) -> DataFrame:
     return predictions.groupBy("backoff_level").agg(F.count("*").alias("rows"))
 
 
+def segment_metrics(df: DataFrame, by: Sequence[str], actual: str = "price", predicted: str = "predicted_price") -> DataFrame:
+    """Rows and errors of each segment."""
+    a, p = F.col(actual), F.col(predicted)
+    return df.groupBy(*by).agg(F.count("*").alias("rows"), mae(a, p).alias("mae"), mdape(a, p).alias("mdape"))
+
+
+def residual_quantiles(df: DataFrame, level: float = 0.8, log_actual: str = "log_price", log_predicted: str = "predicted_log_price") -> DataFrame:
+    """One row: the exact quantiles of log residuals that hold the central ``level``."""
+    residual = F.col(log_actual) - F.col(log_predicted)
+    return df.agg(F.percentile(residual, (1 - level) / 2).alias("low"), F.percentile(residual, (1 + level) / 2).alias("high"))
+
+
+def with_interval(df: DataFrame, low: float, high: float, log_predicted: str = "predicted_log_price") -> DataFrame:
+    return df.withColumns({"lower_price": F.exp(F.col(log_predicted) + F.lit(low)), "upper_price": F.exp(F.col(log_predicted) + F.lit(high))})
+
+
+def interval_coverage(df: DataFrame, by: Sequence[str] = (), actual: str = "price") -> DataFrame:
+    """Share of actual prices inside their interval, and the median width."""
+    inside = F.col(actual).between(F.col("lower_price"), F.col("upper_price")).cast("double")
+    return df.groupBy(*by).agg(F.count("*").alias("rows"), F.avg(inside).alias("coverage"), F.median(F.col("upper_price") - F.col("lower_price")).alias("median_width"))
+
+
+def rolling_metrics(df: DataFrame, day: str, holdout_months: int, years: Sequence[int] = (3, 5, 10), support: int = SUPPORT) -> DataFrame:
+    """Metrics of the same holdout with training windows of several lengths before it."""
+    train, held, cutoff = temporal_split(df, day, holdout_months)
+    found = []
+    for span in years:
+        window = train.where(F.col(day) >= F.lit(cutoff.replace(year=cutoff.year - span)))
+        found.append(metrics(GroupedMedians.fit(window).predict(held, support)).withColumn("years", F.lit(span)))
+    return reduce(DataFrame.unionByName, found)
+
+
 @dataclass(frozen=True)
 class Validation:
     cutoff: str

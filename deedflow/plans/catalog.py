@@ -103,6 +103,29 @@ def feature_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     return parts.select("p_partkey", *(c.alias(n) for n, c in model.feature_snapshot(F.concat(F.lit(" "), "p_brand"), F.col("p_type"), F.col("floor_area").cast("double")).items()))
 
 
+@query
+def segment_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    fitted, held = _fitted(spark, sf)
+    found = evaluate.segment_metrics(fitted.predict(held, 100), ["canonical_area", "property_type"])
+    return found.withColumns({"mae": F.round("mae", 3), "mdape": F.round("mdape", 6)})
+
+
+@query
+def calibrated_interval(spark: SparkSession, sf: str) -> DataFrame:
+    fitted, held = _fitted(spark, sf)
+    predicted = fitted.predict(held, 100)
+    low, high = evaluate.residual_quantiles(predicted).first()
+    found = evaluate.interval_coverage(evaluate.with_interval(predicted, low, high))
+    return found.select("rows", F.round("coverage", 3).alias("coverage"), F.round("median_width", 1).alias("median_width"), F.round(F.lit(low), 6).alias("low"), F.round(F.lit(high), 6).alias("high"))
+
+
+@query
+def rolling_windows(spark: SparkSession, sf: str) -> DataFrame:
+    rows = derived(spark, sf, SALES).withColumn("log_price", F.log("price"))
+    found = evaluate.rolling_metrics(rows, "transaction_date", HOLDOUT)
+    return found.select("years", "rows", F.round("mae", 2).alias("mae"), F.round("mdape", 6).alias("mdape"), F.round("log_mae", 6).alias("log_mae"))
+
+
 # --- parsing -----------------------------------------------------------------------------------------------
 
 

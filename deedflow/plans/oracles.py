@@ -11,13 +11,14 @@ from .derive import DATES, EVIDENCE, PLACES, PRICES, RECORDS, REGISTER, SALES, T
 KINDS = ", ".join(f"'{k}'" for k in parsing.PROPERTY_TYPES)
 
 
-def _model(supports: tuple[int, ...], holdout: int) -> str:
+def _model(supports: tuple[int, ...], holdout: int, years: int | None = None) -> str:
+    since = f"AND transaction_date >= c - INTERVAL {years} YEAR" if years else ""
     return f"""
 WITH sales AS ({plain(SALES)}),
 latest AS (SELECT max(transaction_date) AS d FROM sales),
 cut AS (
   SELECT make_date(year(d - INTERVAL {holdout} MONTH)::INT, month(d - INTERVAL {holdout} MONTH)::INT, least(day(d), 28)::INT) AS c FROM (SELECT d FROM latest) AS l),
-train AS (SELECT canonical_area AS a, property_type AS k, ln(price) AS lp FROM sales, cut WHERE transaction_date < c),
+train AS (SELECT canonical_area AS a, property_type AS k, ln(price) AS lp FROM sales, cut WHERE transaction_date < c {since}),
 held AS (SELECT sales.* FROM sales, cut WHERE transaction_date >= c),
 pair AS (SELECT a, k, median(lp) AS m, count(*) AS n FROM train GROUP BY a, k),
 area AS (SELECT a, median(lp) AS m, count(*) AS n FROM train GROUP BY a),
@@ -349,6 +350,12 @@ def statements(supports: tuple[int, ...], holdout: int) -> dict[str, str]:
         "report_payload": _model((450,), holdout) + f"""SELECT o_orderkey, round(price * 1.1::DOUBLE - exp(m), 4) AS gap, round((price * 1.1::DOUBLE - exp(m)) / exp(m), 6) AS gap_share, {CONFIDENCE.format(level="backoff_level", n="n")} AS confidence_state,
             round(exp(m - 0.25), 2) AS lower, round(exp(m + 0.25), 2) AS upper FROM predicted""",
         "confidence_states": _model((1,), holdout) + f"SELECT {CONFIDENCE.format(level='backoff_level', n='n % 20')} AS confidence_state, count(*) AS rows FROM predicted GROUP BY 1",
+        "segment_metrics": _model((100,), holdout) + "SELECT canonical_area, property_type, count(*) AS rows, round(avg(abs(price - exp(m))), 3) AS mae, round(median(abs(price - exp(m)) / price), 6) AS mdape FROM predicted GROUP BY 1, 2",
+        "calibrated_interval": _model((100,), holdout) + """, q AS (SELECT quantile_cont(ln(price) - m, 0.1) AS low, quantile_cont(ln(price) - m, 0.9) AS high FROM predicted)
+            SELECT count(*) AS rows, round(avg((price BETWEEN exp(m + low) AND exp(m + high))::INT), 3) AS coverage, round(median(exp(m + high) - exp(m + low)), 1) AS median_width, any_value(round(low, 6)) AS low, any_value(round(high, 6)) AS high FROM predicted, q""",
+        "rolling_windows": " UNION ALL ".join(
+            f"SELECT {y} AS years, count(*) AS rows, round(avg(abs(price - exp(m))), 2) AS mae, round(median(abs(price - exp(m)) / price), 6) AS mdape, round(avg(abs(ln(price) - m)), 6) AS log_mae FROM ({_model((3,), holdout, y)} SELECT * FROM predicted) AS p{y}" for y in (3, 5, 10)
+        ),
         "training_filter": training.format(log=", round(ln(p), 9) AS log_price", more=", 'unknown'"),
         "training_filter_known_types": training.format(log="", more=""),
         "feature_snapshot": """SELECT p_partkey, p_brand AS canonical_area, p_type AS property_type, p_brand || '|' || p_type AS group_key,
