@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import ppm
-from .runtime import durable, ship
+from .runtime import durable, ship, trim
 
 SAMPLE = 400
 SLICES = 64
@@ -94,6 +94,7 @@ def judge(docs: DataFrame, names: list[str], model: ppm.Model | None, text: str
                 best[known] = bits.argmax(axis=1)
                 share[known] = 1.0 / (10.0 ** np.maximum(bits - bits.max(axis=1, keepdims=True), -300)).sum(axis=1)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], pa.array(languages[best], pa.string()), pa.array(share)], names=[*rest, lang_pred, score])
+        trim()
 
     return docs.select(*sent).mapInArrow(run, schema)
 

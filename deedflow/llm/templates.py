@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import durable, ship
+from .runtime import durable, ship, trim
 
 WINDOW = 8
 LITERALS = 5
@@ -238,6 +238,7 @@ def contaminated(
     def thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = np.unpackbits(words.view(np.uint8), bitorder="little").astype(bool)
         yield from _window_rows(lengths, bitmap)(batches)
+        trim()
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
