@@ -4,8 +4,10 @@ Fingerprint: A-Z is lower-cased, words are runs without ASCII white space, shing
 joined by one space (a shorter text is one shingle, a text without words has fingerprint zero); bit i is set
 if more than half of the shingles' XXH64 hashes (seed 42) have it.
 
-Comparison: distinct fingerprints (copies count once) are put into blocks by each of ``radius + 1`` bit
-bands; two that differ in ``radius`` bits at most agree on one band, so no link is lost.  A block is cut into
+Comparison: distinct fingerprints (copies count once) are put into blocks by bit bands that agree: of
+``bands`` bands, two that differ in ``radius`` bits at most agree on ``bands - radius``, so with a block for
+every choice of so many bands no link is lost.  Few fingerprints need ``radius + 1`` bands; very many get more,
+whose longer keys keep blocks small.  A block is cut into
 tiles of about ``TILE`` fingerprints of one population count; pairs of tiles whose population counts differ
 by more than the radius are skipped, all others are compared exactly with numpy exclusive-or and bit counts.
 Large blocks thus become many independent tile pairs, and no task holds more than two tiles.  A tile pair
@@ -19,6 +21,7 @@ stays empty; only the result columns are returned.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -27,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected
-from .runtime import durable, fresh, ship
+from .runtime import durable, fresh, ship, trim
 
 TILE = 4096
 WIDTH = 3
@@ -70,6 +73,7 @@ def fingerprints(docs: DataFrame, text: str, name: str, width: int = WIDTH) -> D
             texts = batch.column(len(rest))
             prints = np.fromiter((fingerprint(t.as_py(), width) for t in texts), np.uint64, len(texts)).view(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], pa.array(prints)], names=[*rest, name])
+        trim()
 
     return docs.select(*rest, text).mapInArrow(run, schema)
 
@@ -115,14 +119,21 @@ def _compare(radius: int):
     return run
 
 
-def links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """Distinct fingerprints (``fp``, signed longs) to edges (``u``, ``v``) that connect all within the radius."""
+def bands_for(n: int, radius: int) -> int:
+    """How many bands the bits are cut into: more when there are more fingerprints, so that a key of the bands that agree keeps blocks small."""
     bands = radius + 1
+    while bands < 2 * radius and n >> (64 * (bands - radius) // bands) > 256:
+        bands += 1
+    return bands
+
+
+def links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE, bands: int | None = None) -> DataFrame:
+    """Distinct fingerprints (``fp``, signed longs) to edges (``u``, ``v``) that connect all within the radius."""
+    bands = bands_for(prints.count(), radius) if bands is None else bands
     edges = [round(64 * i / bands) for i in range(bands + 1)]
-    keys = [
-        F.xxhash64(F.lit(i), F.shiftrightunsigned("fp", edges[i]).bitwiseAND(F.lit((1 << (edges[i + 1] - edges[i])) - 1).cast("long")))
-        for i in range(bands)
-    ]
+    part = [F.shiftrightunsigned("fp", edges[i]).bitwiseAND(F.lit((1 << (edges[i + 1] - edges[i])) - 1).cast("long")) for i in range(bands)]
+    # two within the radius agree on all bands but ``radius`` at least, so on all of one of these choices
+    keys = [F.xxhash64(F.lit(n), *(part[i] for i in some)) for n, some in enumerate(combinations(range(bands), bands - radius))]
     blocks = prints.select("fp", F.bit_count("fp").alias("ones"), F.explode(F.array(*keys)).alias("block"))
     # at most 65 rows for each block
     counts = blocks.groupBy("block", "ones").agg(F.count("*").alias("n"))

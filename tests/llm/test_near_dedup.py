@@ -48,14 +48,18 @@ def test_query(spark, sf):
     assert {d: r["component_id"] for d, r in got.items()} == want
 
 
-@pytest.mark.parametrize("tile", [2, 7, 4096])
-def test_links_of_clustered_fingerprints(spark, tile):
+def test_more_bands_for_more_fingerprints():
+    assert [simhash.bands_for(n, 3) for n in (0, 10**6, 10**9, 10**11)] == [4, 4, 5, 6]
+
+
+@pytest.mark.parametrize("tile, bands", [(2, None), (7, 5), (4096, None), (9, 6)])
+def test_links_of_clustered_fingerprints(spark, tile, bands):
     rng = np.random.default_rng(tile)
     centres = rng.integers(0, 1 << 63, 6)
     prints = {int(c) ^ sum(1 << int(b) for b in rng.integers(0, 64, rng.integers(0, 4))) for c in centres for _ in range(25)}
     signed = {i: p for i, p in enumerate(sorted(prints))}
     df = spark.createDataFrame([(int(np.uint64(p).astype(np.int64)),) for p in signed.values()], "fp long")
-    edges = simhash.links(df, tile=tile)
+    edges = simhash.links(df, tile=tile, bands=bands)
     found = {r["node"]: r["root"] for r in components.connected(edges).collect()}
     as_signed = lambda p: int(np.uint64(p).astype(np.int64))
     want = brute_components(signed)
