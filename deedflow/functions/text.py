@@ -44,8 +44,15 @@ def _java(pattern: str) -> str:
     return "(?U)" + pattern
 
 
-def normalise(c: Column) -> Column:
-    """Upper-case text with uniform spacing, punctuation and written-out abbreviations."""
+def normalise(c: Column, compose: bool = False) -> Column:
+    """Upper-case text with uniform spacing, punctuation and written-out abbreviations.
+
+    ``compose`` brings text that may hold combining marks into composed form first.
+    """
+    if compose:
+        from .unicode import composed
+
+        c = composed(c)
     out = F.translate(c, APOSTROPHES + DASHES, "'" * len(APOSTROPHES) + "-" * len(DASHES))
     out = trim_ws(F.upper(out))
     for pattern, put in _TIDY:

@@ -172,6 +172,11 @@ def stable_sample(df: DataFrame, rows: int, order: Sequence[str] = ("record_id",
     return df.orderBy(*(F.asc_nulls_last(c) for c in order)).limit(rows)
 
 
+def costliest(df: DataFrame, rows: int, price: str = "sale_price_eur_adjusted", key: str = "record_id") -> DataFrame:
+    """The highest prices, ties by key."""
+    return df.orderBy(F.col(price).desc_nulls_last(), F.col(key).asc_nulls_last()).limit(rows)
+
+
 def containing(df: DataFrame, column: str, terms: Sequence[str]) -> DataFrame:
     """Rows whose text contains one of the terms, in any case."""
     hit = F.lit(False)

@@ -366,6 +366,20 @@ def stable_sample(spark: SparkSession, sf: str) -> DataFrame:
     return profile.stable_sample(derived(spark, sf, "SELECT c_custkey, c_name, c_mktsegment FROM {customer}"), 40, ["c_mktsegment", "c_custkey"])
 
 
+@query
+def costliest(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.costliest(derived(spark, sf, EVIDENCE), 30).select("record_id", "sale_price_eur_adjusted")
+
+
+@query
+def ordered_union(spark: SparkSession, sf: str) -> DataFrame:
+    """Two extracts put together, the second one a bounded sample."""
+    records = derived(spark, sf, EVIDENCE).where("record_id is not null")
+    near = records.where("duplicate_action = 'review_only'").select("record_id", "duplicate_status")
+    rest = profile.stable_sample(records.where("duplicate_status = 'same_day_distinct_transaction'"), 20).select("record_id", "duplicate_status")
+    return near.unionByName(rest)
+
+
 @query
 def included_and_excluded(spark: SparkSession, sf: str) -> DataFrame:
     """Both sides of the split by semi and anti join, which together are all records."""

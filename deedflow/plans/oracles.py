@@ -401,5 +401,9 @@ def statements(supports: tuple[int, ...], holdout: int) -> dict[str, str]:
             count(*) FILTER (WHERE geo_scope IN ('inference', 'unknown')) AS in_set, count(*) FILTER (WHERE is_full_market_price) AS is_true,
             count(*) FILTER (WHERE full_market_price_mapping_status IS DISTINCT FROM 'mapped_full_market') AS not_in_set FROM ({plain(EVIDENCE)}) AS e""",
         "stable_sample": "SELECT c_custkey, c_name, c_mktsegment FROM customer ORDER BY c_mktsegment NULLS LAST, c_custkey LIMIT 40",
+        "costliest": f"SELECT record_id, sale_price_eur_adjusted FROM ({plain(EVIDENCE)}) AS e ORDER BY sale_price_eur_adjusted DESC NULLS LAST, record_id NULLS LAST LIMIT 30",
+        "ordered_union": f"""WITH e AS (SELECT * FROM ({plain(EVIDENCE)}) AS x WHERE record_id IS NOT NULL)
+            SELECT record_id, duplicate_status FROM e WHERE duplicate_action = 'review_only'
+            UNION ALL SELECT * FROM (SELECT record_id, duplicate_status FROM e WHERE duplicate_status = 'same_day_distinct_transaction' ORDER BY record_id LIMIT 20) AS s""",
         "included_and_excluded": _assessed() + "SELECT o_orderkey, CASE WHEN exclude_from_training THEN 'excluded' ELSE 'included' END AS side FROM a",
     }

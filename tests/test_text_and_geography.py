@@ -36,6 +36,14 @@ def test_normalising_is_idempotent_and_equals_its_twin(spark):
         assert r["folded"] == T.match_text(r["t"])
 
 
+def test_text_that_is_not_composed(spark):
+    from deedflow.functions import unicode
+
+    df = spark.createDataFrame([("Du\u0301n rd",), (None,), ("Ж\u0301 ﬁ",)], "t string")
+    got = df.select(T.normalise(F.col("t"), compose=True).alias("n"), unicode.folded(F.col("t")).alias("f")).collect()
+    assert [tuple(r) for r in got] == [("DÚN ROAD", "Dun rd"), (None, None), ("Ж\u0301 FI", "Ж fi")]
+
+
 def mapped(spark, rows, overrides=()):
     df = spark.createDataFrame([(f"r{i}", a, c) for i, (a, c) in enumerate(rows)], "record_id string, raw_address string, county_raw string")
     out = geography.map_areas(geography.normalise_addresses(df), configs.read_aliases(), overrides)
