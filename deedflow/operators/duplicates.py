@@ -47,15 +47,21 @@ def _varies(name: str) -> Column:
 
 
 def with_group(df: DataFrame, keys: Sequence[str], prefix: str, **aggregates: Column) -> DataFrame:
-    """Join aggregates of each key's rows back; nulls are equal to each other.  Only keys of several rows are joined."""
+    """Join aggregates of each key's rows back; nulls are equal to each other.
+
+    Only keys of several rows (that vary, if that is asked) are joined: a small side that is hashed, so that the
+    records need not be sorted.
+    """
     groups = df.groupBy(*keys).agg(F.count("*").alias(f"{prefix}_size"), *(a.alias(f"{prefix}_{n}") for n, a in aggregates.items()))
     groups = groups.where(F.col(f"{prefix}_size") > 1)
+    if "varied" in aggregates:
+        groups = groups.where(F.col(f"{prefix}_varied"))
     right = groups.select(*(F.col(k).alias(f"{prefix}_key{i}") for i, k in enumerate(keys)), f"{prefix}_size", *(f"{prefix}_{n}" for n in aggregates))
     condition = None
     for i, k in enumerate(keys):
         same = F.col(k).eqNullSafe(F.col(f"{prefix}_key{i}"))
         condition = same if condition is None else condition & same
-    return df.join(right, condition, "left").drop(*(f"{prefix}_key{i}" for i in range(len(keys))))
+    return df.join(right.hint("shuffle_hash"), condition, "left").drop(*(f"{prefix}_key{i}" for i in range(len(keys))))
 
 
 def assess_duplicates(df: DataFrame, keys: DuplicateKeys | None = None) -> DataFrame:

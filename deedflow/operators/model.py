@@ -7,6 +7,7 @@ never fail: the global median answers where no group has enough support.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,17 +69,24 @@ class GroupedMedians:
         # grouping bits 00, 01, 10, 11 are the levels in order
         return cls(sets.agg(level.alias("level"), F.median("target").alias("median"), F.count("*").alias("support")).persist(), area, kind)
 
+    @cached_property
+    def many(self) -> bool:
+        return self.groups.count() > BROADCAST_GROUPS
+
+    @cached_property
+    def overall(self) -> tuple:
+        """Level, median and support of all rows: one row, fetched once."""
+        return tuple(self.groups.where(F.col("level") == "global").select("level", "median", "support").first())
+
     def predict(self, rows: DataFrame, support: int = SUPPORT) -> DataFrame:
         """``rows`` with ``predicted_price``, ``predicted_log_price``, ``support_count`` and ``backoff_level``."""
-        many = self.groups.count() > BROADCAST_GROUPS
-        hint = (lambda t: t) if many else F.broadcast
+        hint = (lambda t: t) if self.many else F.broadcast
         level = lambda name: self.groups.where(F.col("level") == name)
         out = rows.withColumns({"__area": T.trim_ws(F.coalesce(F.col(self.area), F.lit(""))), "__kind": P.clean_property_type(F.col(self.kind))})
         pair = level("area_property_type").where(F.col("support") >= support).select(F.col("area").alias("a1"), F.col("kind").alias("k1"), F.struct("level", "median", "support").alias("g1"))
         area = level("area").where(F.col("support") >= support).select(F.col("area").alias("a2"), F.struct("level", "median", "support").alias("g2"))
         kind = level("property_type").where(F.col("support") >= support).select(F.col("kind").alias("k3"), F.struct("level", "median", "support").alias("g3"))
-        # one row, fetched once
-        overall = level("global").select("level", "median", "support").first()
+        overall = self.overall
         last = F.struct(F.lit(overall[0]).alias("level"), F.lit(overall[1]).alias("median"), F.lit(overall[2]).cast("long").alias("support"))
         out = (
             out.join(hint(pair), (F.col("__area") == F.col("a1")) & (F.col("__kind") == F.col("k1")), "left")

@@ -14,6 +14,15 @@ from .geography import locked
 NULL_LABEL = "<null>"
 
 
+def _items(array: Column) -> Column:
+    """A row for each item, a null for none; callers drop the nulls.
+
+    The inner form of explode makes the optimizer test the array's size in a filter of its own, which works out
+    a costly array twice.
+    """
+    return F.explode_outer(array)
+
+
 def value_counts(df: DataFrame, column: str, top: int | None = None, by_value: bool = False, null_label: str = NULL_LABEL) -> DataFrame:
     """(value, count), the commonest first, ties by value; or by value."""
     counts = df.groupBy(F.coalesce(F.col(column).cast("string"), F.lit(null_label)).alias("value")).agg(F.count("*").alias("count"))
@@ -47,14 +56,14 @@ def token_counts(df: DataFrame, column: str, empty_label: str | None = None) ->
     tokens = T.unpipe(F.col(column))
     if empty_label is not None:
         tokens = F.when(F.size(tokens) == 0, F.array(F.lit(empty_label))).otherwise(tokens)
-    return df.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count("*").alias("count"))
+    return df.select(_items(tokens).alias("token")).where(F.col("token").isNotNull()).groupBy("token").agg(F.count("*").alias("count"))
 
 
 def reason_summary(df: DataFrame, reasons: str = "exclusion_reasons", primary: str = "exclusion_reason", is_locked: Column | None = None) -> DataFrame:
     """Of each reason: rows for which it comes first, all rows, locked rows, and rows with other reasons too; reasons without rows as well."""
     lock = locked() if is_locked is None else is_locked
     listed = df.select(T.unpipe(F.col(reasons)).alias("all"), F.col(primary).alias("first"), lock.alias("locked"))
-    each = listed.select(F.explode("all").alias("reason"), "first", "locked", (F.size("all") > 1).alias("shared"))
+    each = listed.select(_items(F.col("all")).alias("reason"), "first", "locked", (F.size("all") > 1).alias("shared")).where(F.col("reason").isNotNull())
     counted = each.groupBy("reason").agg(
         F.count_if(F.col("reason") == F.col("first")).alias("primary_rows"),
         F.count("*").alias("all_rows"),
@@ -78,17 +87,19 @@ def long_profile(df: DataFrame, columns: Sequence[str], token_columns: Sequence[
     cell = lambda name: lambda token: F.struct(F.lit(name).alias("metric"), token.alias("value"))
     split = [F.transform(T.unpipe(F.col(c)), cell(c)) for c in token_columns]
     cells = F.concat(F.array(*plain), *split) if split else F.array(*plain)
-    scopes = F.when(inside, F.array(F.lit("all"), F.lit("locked"))).otherwise(F.array(F.lit("all")))
-    rows = df.select(scopes.alias("scopes"), cells.alias("cells"), F.lit(1).alias("one"))
+    rows = df.select(inside.alias("inside"), cells.alias("cells"))
+    # from here on there is one row for each value and side
+    in_scopes = F.explode(F.when(F.col("inside"), F.array(F.lit("all"), F.lit("locked"))).otherwise(F.array(F.lit("all"))))
     counted = (
-        rows.select("scopes", F.explode("cells").alias("cell"))
-        .groupBy("scopes", "cell.metric", "cell.value")
+        rows.select("inside", F.inline_outer("cells"))
+        .where(F.col("metric").isNotNull())
+        .groupBy("inside", "metric", "value")
         .agg(F.count("*").alias("n"))
-        .select(F.explode("scopes").alias("scope"), "metric", "value", "n")
+        .select(in_scopes.alias("scope"), "metric", "value", "n")
         .groupBy("scope", "metric", "value")
         .agg(F.sum("n").alias("count"))
     )
-    totals = rows.groupBy("scopes").agg(F.count("*").alias("n")).select(F.explode("scopes").alias("scope"), "n").groupBy("scope").agg(F.sum("n").alias("total"))
+    totals = df.groupBy(inside.alias("inside")).agg(F.count("*").alias("n")).select(in_scopes.alias("scope"), "n").groupBy("scope").agg(F.sum("n").alias("total"))
     return counted.join(F.broadcast(totals), "scope").select("scope", "metric", "value", "count", (F.col("count") * 100.0 / F.col("total")).alias("percent"))
 
 
@@ -146,7 +157,7 @@ def rule_evidence(df: DataFrame, families: Mapping[str, Sequence[str]], is_locke
     """(rule_id, total_rows, locked_rows) of all rules of several pipe-joined columns, rules without a hit too."""
     lock = locked() if is_locked is None else is_locked
     hits = F.concat(*(F.array_distinct(T.unpipe(F.col(c))) for c in families))
-    each = df.select(lock.alias("locked"), F.explode(hits).alias("rule_id"))
+    each = df.select(lock.alias("locked"), _items(hits).alias("rule_id")).where(F.col("rule_id").isNotNull())
     counted = each.groupBy("rule_id").agg(F.count("*").alias("total_rows"), F.count_if(F.col("locked")).alias("locked_rows"))
     return with_all(df, counted, "rule_id", [r for rules in families.values() for r in rules])
 

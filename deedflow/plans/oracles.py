@@ -366,7 +366,7 @@ def statements(supports: tuple[int, ...], holdout: int) -> dict[str, str]:
         "flag_maps": FLAG_SQL,
         "description_map": DESCRIPTION_SQL,
         "standardised_register": _register(),
-        "row_numbers": "SELECT 1 AS least, count(*) AS most, count(*) AS numbers FROM orders",
+        "row_numbers": "SELECT 1::BIGINT AS least, count(*) AS most, count(*) AS numbers FROM orders",
         "normalise_text": f"WITH places AS ({plain(PLACES)}) SELECT p_partkey, {_tidy()} AS tidy, strip_accents({_tidy()}) AS folded FROM places",
         "address_fields": f"WITH {ADDRESS_CTE} SELECT p_partkey, {', '.join(geography.ADDRESS_FIELDS)} FROM addressed",
         "area_match": _areas() + "SELECT * FROM mapped",
