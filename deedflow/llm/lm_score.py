@@ -159,7 +159,10 @@ def model_of(grams: DataFrame, most: int = WINDOWS) -> trie.Trie:
             grams = grams.groupBy(F.col("gram").bitwiseAND(F.lit((1 << (8 * (order + 1))) - 1)).alias("gram")).agg(F.sum("n").alias("n"))
         if order <= 1 or grams.count() <= most:  # there are 2**16 windows of order 1 at most
             found = grams.select("gram", "n").toArrow()
-            return trie.Trie(found["gram"].to_numpy().view(np.uint64), found["n"].to_numpy(), order)
+            keys, counts = found["gram"].to_numpy().view(np.uint64), found["n"].to_numpy()
+            del found
+            trim()
+            return trie.Trie(keys, counts, order)
     raise AssertionError
 
 
@@ -188,6 +191,7 @@ def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
     base = sums.dropDuplicates(["doc_id", "hash"]).withColumn("base_score", F.col("logs") - F.col("n_tokens") * F.lit(math.log10(tokens + distinct + 1)))
     grams = gathered.where("kind = 2").select(F.explode(F.arrays_zip("keys", "counts")).alias("g")).groupBy(F.col("g.keys").alias("gram")).agg(F.sum("g.counts").alias("n"))
     model = docs.sparkSession.sparkContext.broadcast(model_of(written(grams)).state())
+    trim()
     scored = f"doc_id {kind}, hash long, held_out boolean, score double"
 
     def code_lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

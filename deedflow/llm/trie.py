@@ -109,7 +109,8 @@ class Trie:
         """``keys``: distinct windows of order + 1 bytes, with their counts."""
         self.order = order
         by = np.argsort(keys)
-        k, n = keys[by].astype(np.uint64), counts[by].astype(np.float64)
+        k, n = keys[by].astype(np.uint64, copy=False), counts[by].astype(np.float64)
+        del by
         levels = {order: (k, n)}
         for o in range(order - 1, -1, -1):
             k, n = summed([k & np.uint64((1 << (8 * (o + 1))) - 1)], [n])
