@@ -1,15 +1,15 @@
 """Language-model scores by prediction by partial matching, beside a unigram baseline.
 
-Everything is learned from all training rows.  One pass over the texts writes, for each block of texts (an
-Arrow batch), the counts of its byte windows, its words with their training counts, and its texts as word
-codes.  Then
+Everything is learned from all training rows.  One pass over the texts writes, for each block of texts (part
+of an Arrow batch), the counts of its byte windows, its words with their training counts, and its texts.  Then
 
-* byte windows are summed and become one frozen trie with escapes and symbol exclusion (``trie``).  What the
-  driver receives is bounded: the order is the greatest up to ``ORDER`` that has ``WINDOWS`` distinct windows
-  at most, and only windows of that order are fetched;
+* byte windows are dealt into buckets by the two bytes before the symbol, so that all contexts of order 2 and
+  more are whole in one bucket; those of order 1 and 0 have 2**16 windows at most and are sent to all.  Each
+  bucket becomes one frozen trie with escapes and symbol exclusion (``trie``) and answers the distinct windows
+  that the blocks ask for.  The order is ``ORDER`` at every size and no window is held outside its bucket;
 * words are summed by a shuffle and their counts go back to the blocks that asked for them, so no vocabulary
   is ever held in one place;
-* a second pass over the texts adds up exact code lengths under the trie.
+* each block adds up the exact code lengths and the baseline of its texts from the answers.
 
 Baseline: log10((c + 1) / (N + V + 1)) summed over the words and one end of the text, where c is the count of
 the word in training, N all training tokens and V the distinct ones, ends included.
@@ -34,8 +34,11 @@ from . import trie
 from .runtime import durable, ship, trim, written
 
 BLOCK_BYTES = 8 << 20
-SCORE_BYTES = 4 << 20
 ORDER = 5
+#: Parts that the pairs of bytes before a symbol are dealt into; the most frequent pair sets the size of the largest one.
+BUCKETS = 256
+#: So many windows are answered at once.
+ANSWERS = 1 << 17
 WINDOWS = 3_000_000
 
 
@@ -88,7 +91,40 @@ def unpacked(data: bytes, n: int) -> np.ndarray:
     return both[:n].astype(np.int64) | (both[n:].astype(np.int64) << 16)
 
 
-ROW = "kind int, block long, ids array<{id}>, hashes array<long>, sizes array<long>, data binary, at int, words array<string>, keys array<long>, counts array<long>"
+def turned(keys: np.ndarray) -> np.ndarray:
+    """Windows with their contexts' bytes reversed (the nearest first), and back; sorted this way they compress well."""
+    out = np.zeros((len(keys), 8), np.uint8)
+    out[:, : ORDER + 1] = np.ascontiguousarray(keys).view(np.uint8).reshape(-1, 8)[:, [0, *range(ORDER, 0, -1)]]
+    return out.reshape(-1).view(np.uint64)
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    return pa.compress(np.ascontiguousarray(keys.view(np.uint8).reshape(-1, 8)[:, : ORDER + 1].T).tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked_keys(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, decompressed_size=(ORDER + 1) * n, codec="zstd", asbytes=True), np.uint8).reshape(ORDER + 1, n)
+    out = np.zeros((n, 8), np.uint8)
+    out[:, : ORDER + 1] = planes.T
+    return out.reshape(-1).view(np.uint64)
+
+
+def dealt(keys: np.ndarray, counts: np.ndarray | None) -> Iterator[dict]:
+    """A row for each bucket that has some of the windows."""
+    pair = (keys >> np.uint64(8)) & np.uint64(0xFFFF)
+    bucket = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(56)).astype(np.int64) % BUCKETS
+    by = np.lexsort((turned(keys), bucket))
+    keys, bucket = keys[by], bucket[by]
+    ends = np.cumsum(np.bincount(bucket, minlength=BUCKETS))
+    for b, (i, j) in enumerate(zip(np.append(0, ends[:-1]).tolist(), ends.tolist())):
+        if i < j:
+            yield {"bucket": b, "n": j - i, "data": packed_keys(keys[i:j])} | ({} if counts is None else {"more": packed(counts[by[i:j]])})
+
+
+ROW = (
+    "kind int, block long, ids array<{id}>, held array<boolean>, raw binary, size long, at int, words array<string>, counts array<long>, keys array<long>, "
+    "bucket int, n int, data binary, more binary"
+)
 #: Lists are sent in rows of so many items, which keeps rows small where they are taken apart.
 ITEMS = 1 << 14
 
@@ -101,59 +137,138 @@ def _gather(schema: pa.Schema):
         trim()
         for batch in batches:
             windows: tuple[list, list] = ([], [])
-            for at, n in blocks(batch.column(3)):
-                ids, hashes, train, raw = (batch.column(i).slice(at, n) for i in range(4))
+            for at, n in blocks(batch.column(2)):
+                ids, train, raw = (batch.column(i).slice(at, n) for i in range(3))
                 texts, learn = lowered(raw), train.to_numpy(zero_copy_only=False)
                 block = uuid.uuid4().int >> 65
-                words, counts, sizes, codes = coded(texts, learn)
-                data = packed(codes)
+                words, counts, _, codes = coded(texts, learn)
                 del codes
-                yield rows({"kind": 0, "block": block, "ids": ids.to_pylist(), "hashes": hashes.to_numpy(), "sizes": sizes, "data": data})
                 for i in range(0, len(words), ITEMS):
                     yield rows({"kind": 1, "block": block, "at": i, "words": words.slice(i, ITEMS), "counts": counts[i : i + ITEMS]})
-                del words, counts, data
-                whole = trie.joined(texts.filter(pa.array(learn)).cast(pa.binary()).to_pylist(), ORDER)[0]
+                del words, counts
+                bare = texts.cast(pa.binary())
                 del texts
-                for found, kept in zip(trie.grams(whole, ORDER), windows):
+                whole = trie.joined(bare.to_pylist(), ORDER)[0]
+                yield rows({"kind": 0, "block": block, "ids": ids.to_pylist(), "held": ~learn, "raw": pa.compress(whole, codec="zstd", asbytes=True), "size": len(whole)})
+                known = trie.grams(trie.joined(bare.filter(pa.array(learn)).to_pylist(), ORDER)[0], ORDER)
+                for found, kept in zip(known, windows):
                     kept.append(found)
-                del whole
+                asked = trie.grams(trie.joined(bare.filter(pa.array(~learn)).to_pylist(), ORDER)[0], ORDER)[0]
+                asked = np.union1d(known[0], asked)
+                del whole, bare
+                some = [{"kind": 3, "block": block} | r for r in dealt(asked, None)]
+                for i in range(0, len(some), 32):
+                    yield rows(*some[i : i + 32])
+                del some, asked
                 trim()
             keys, seen = trie.summed(*windows)
+            some = [{"kind": 2} | r for r in dealt(keys, seen)]
+            for i in range(0, len(some), 32):
+                yield rows(*some[i : i + 32])
+            keys, seen = trie.summed([keys & np.uint64(0xFFFF)], [seen])
             for i in range(0, len(keys), ITEMS):
-                yield rows({"kind": 2, "keys": keys[i : i + ITEMS].astype(np.int64), "counts": seen[i : i + ITEMS]})
-            del keys, seen, windows
+                yield rows({"kind": 4, "keys": keys[i : i + ITEMS].astype(np.int64), "counts": seen[i : i + ITEMS]})
+            del keys, seen, windows, some
             trim()
 
     return run
 
 
-def _baseline(schema: pa.Schema):
-    """Blocks with their answers to sums of log10(c + 1), without the denominator that is the same for all tokens."""
+def _answered(low, schema: pa.Schema):
+    """Rows of a bucket, trained windows first (kind 2), to answers for the windows that blocks ask for (kind 3)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, learned, kept, model, asked, open_ = None, ([], []), 0, None, [], 0
+
+        def answers() -> pa.RecordBatch:
+            values = model.of_windows(np.concatenate([k for _, _, k in asked])).astype(np.float32)
+            ends = np.cumsum([len(k) for _, _, k in asked])
+            parts = [values[j - len(k) : j].tobytes() for (_, _, k), j in zip(asked, ends.tolist())]
+            columns = [[b for b, _, _ in asked], [len(k) for _, _, k in asked], [d for _, d, _ in asked], parts]
+            asked.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                bucket, kind, block, n, data, more = (batch.column(j)[i].as_py() for j in range(6))
+                if bucket != at:
+                    if asked:
+                        yield answers()
+                    at, learned, kept, model, open_ = bucket, ([], []), 0, None, 0
+                    trim()
+                keys = unpacked_keys(data, n)
+                if kind == 2:
+                    learned[0].append(keys)
+                    learned[1].append(unpacked(more, n))
+                    open_ += n
+                    if open_ > max(ANSWERS, kept):  # what is held stays near the distinct windows
+                        k, c = trie.summed(*learned)
+                        learned, kept, open_ = ([k], [c]), len(k), 0
+                    continue
+                if model is None:
+                    model, learned, open_ = trie.Trie(*trie.summed(*learned), ORDER, low.value), ([], []), 0
+                asked.append((block, data, keys))
+                open_ += n
+                if open_ > ANSWERS:
+                    yield answers()
+                    open_ = 0
+        if asked:
+            yield answers()
+        trim()
+
+    return run
+
+
+def _scored(schema: pa.Schema):
+    """Blocks with their answers to code lengths and sums of log10(c + 1), without the denominator that is the same for all tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                ids, hashes, sizes, data, local, count, new = (batch.column(j).slice(i, 1) for j in range(7))
-                size = sizes.flatten().to_numpy(zero_copy_only=False)
+                ids, held, raw, length, local, count, new, replies = (batch.column(j).slice(i, 1) for j in range(8))
+                whole = np.frombuffer(pa.decompress(raw[0].as_buffer(), decompressed_size=length[0].as_py(), codec="zstd", asbytes=True), np.uint8)
+                ends = np.nonzero(whole == trie.EOS)[0]
+                starts = np.concatenate(([0], ends[:-1] + 1)).astype(np.int64)
+                offsets = np.concatenate(([0], np.cumsum(ends - starts - ORDER))).astype(np.int32)
+                body = whole[(whole != trie.BOS) & (whole != trie.EOS)]
+                texts = pa.StringArray.from_buffers(len(ends), pa.py_buffer(offsets), pa.py_buffer(body))
+                _, _, size, codes = coded(texts, np.zeros(len(ends), bool))
+                del texts, body
                 at = local.flatten().to_numpy(zero_copy_only=False)
                 c = np.zeros(len(at), np.int64)
                 c[at] = count.flatten().to_numpy(zero_copy_only=False)
                 logs = np.log10(c + 1.0)
                 row = np.repeat(np.arange(len(size), dtype=np.int32), size)
-                codes = unpacked(data[0].as_py(), int(size.sum()))
                 base = np.bincount(row, weights=logs[codes], minlength=len(size)) + logs[0]
                 known = np.bincount(row, weights=(c > 0)[codes], minlength=len(size)) + (c[0] > 0)
+                del codes, row
                 fresh = np.zeros(len(size), np.int64)
                 fresh[0] = new[0].as_py()
-                yield pa.RecordBatch.from_arrays([ids.flatten(), hashes.flatten(), pa.array(size + 1), pa.array(known.astype(np.int64)), pa.array(base), pa.array(fresh)], schema=schema)
-                del codes, row
+                got = replies.flatten()
+                sizes = pc.struct_field(got, "n").to_pylist()
+                keys = np.concatenate([unpacked_keys(d, n) for d, n in zip(pc.struct_field(got, "data").to_pylist(), sizes)])
+                values = np.concatenate([np.frombuffer(v, np.float32) for v in pc.struct_field(got, "answer").to_pylist()])
+                look = trie.Lookup(keys)
+                values = values[look.order]
+                del keys
+
+                def values_of(part: np.ndarray) -> np.ndarray:
+                    out = np.zeros(len(part) - ORDER)
+                    real = part[ORDER:] != trie.BOS
+                    out[real] = values[look.find(trie.windows(part, ORDER)[real])]
+                    return out
+
+                lengths = trie.totals(values_of, whole, starts, ORDER)
+                columns = [ids.flatten(), held.flatten(), pa.array(size + 1), pa.array(known.astype(np.int64)), pa.array(base), pa.array(lengths), pa.array(fresh)]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
+                del look, values, whole
             trim()
 
     return run
 
 
 def model_of(grams: DataFrame, most: int = WINDOWS) -> trie.Trie:
-    """The trie of all summed windows (``gram`` of ORDER + 1 bytes, ``n``)."""
+    """A trie of at most ``most`` summed windows (``gram`` of ORDER + 1 bytes, ``n``), of a lower order if need be; ``score`` doesn't use it."""
     for order in range(ORDER, -1, -1):
         if order < ORDER:
             grams = grams.groupBy(F.col("gram").bitwiseAND(F.lit((1 << (8 * (order + 1))) - 1)).alias("gram")).agg(F.sum("n").alias("n"))
@@ -168,9 +283,7 @@ def model_of(grams: DataFrame, most: int = WINDOWS) -> trie.Trie:
 
 def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row."""
-    rows = docs.select(
-        F.col(doc_id).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("hash"), F.coalesce(train, F.lit(False)).alias("train"), F.col(text).alias("text")
-    )
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(train, F.lit(False)).alias("train"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     shape = ROW.format(id=kind)
     gathered = written(rows.mapInArrow(_gather(_arrow(rows, shape)), shape))
@@ -182,32 +295,20 @@ def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
     answers = counted.groupBy("block").agg(
         F.collect_list("local").alias("locals"), F.collect_list("c").alias("counts"), F.count_if(F.col("first") & (F.col("c") > 0)).alias("new")
     )
-    texts = gathered.where("kind = 0").select("block", "ids", "hashes", "sizes", "data")
-    joined = texts.join(answers, "block").select("ids", "hashes", "sizes", "data", "locals", "counts", "new")
-    out = f"doc_id {kind}, hash long, n_tokens long, n_known long, logs double, new long"
-    sums = durable(joined.mapInArrow(_baseline(_arrow(rows, out)), out))
+    grams = gathered.where("kind = 4").select(F.explode(F.arrays_zip("keys", "counts")).alias("g")).groupBy(F.col("g.keys").alias("gram")).agg(F.sum("g.counts").alias("n"))
+    found = grams.toArrow()  # of order 1, so 2**16 at most
+    low = docs.sparkSession.sparkContext.broadcast((found["gram"].to_numpy().astype(np.uint64), found["n"].to_numpy().astype(np.int64)))
+    windows = gathered.where("kind in (2, 3)").select("bucket", "kind", "block", "n", "data", "more").repartition("bucket").sortWithinPartitions("bucket", "kind")
+    reply = "block long, n int, data binary, answer binary"
+    replies = windows.mapInArrow(_answered(low, _arrow(rows, reply)), reply).groupBy("block").agg(F.collect_list(F.struct("n", "data", "answer")).alias("replies"))
+    texts = gathered.where("kind = 0").select("block", "ids", "held", "raw", "size")
+    joined = texts.join(answers, "block").join(replies, "block").select("ids", "held", "raw", "size", "locals", "counts", "new", "replies")
+    out = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, logs double, score double, new long"
+    sums = durable(joined.mapInArrow(_scored(_arrow(rows, out)), out))
     distinct = sums.agg(F.coalesce(F.sum("new"), F.lit(0))).first()[0]
     tokens = gathered.where("kind = 1").agg(F.coalesce(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda x, y: x + y)), F.lit(0))).first()[0]
-    base = sums.dropDuplicates(["doc_id", "hash"]).withColumn("base_score", F.col("logs") - F.col("n_tokens") * F.lit(math.log10(tokens + distinct + 1)))
-    grams = gathered.where("kind = 2").select(F.explode(F.arrays_zip("keys", "counts")).alias("g")).groupBy(F.col("g.keys").alias("gram")).agg(F.sum("g.counts").alias("n"))
-    model = docs.sparkSession.sparkContext.broadcast(model_of(written(grams)).state())
-    trim()
-    scored = f"doc_id {kind}, hash long, held_out boolean, score double"
-
-    def code_lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frozen = trie.Trie.of(model.value)
-        for batch in batches:
-            parts = [frozen.scores(lowered(batch.column(3).slice(at, n)).cast(pa.binary()).to_pylist()) for at, n in blocks(batch.column(3), SCORE_BYTES)]
-            values = np.concatenate(parts) if parts else np.zeros(0)
-            held = pc.invert(batch.column(2))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), held, pa.array(values)], names=["doc_id", "hash", "held_out", "score"])
-        trim()
-
-    lengths = rows.mapInArrow(code_lengths, scored)
-    b = base.select(F.col("doc_id").alias("d"), F.col("hash").alias("h"), "n_tokens", "n_known", "base_score")
-    return lengths.join(b, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("hash") == F.col("h"))).select(
-        "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score"
-    )
+    base = F.col("logs") - F.col("n_tokens") * F.lit(math.log10(tokens + distinct + 1))
+    return sums.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
 
 
 def _arrow(df: DataFrame, ddl: str) -> pa.Schema:

@@ -12,12 +12,16 @@ Texts begin with ``ppm.BOS`` bytes and end with ``ppm.EOS``.  A window of ``orde
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
 from .ppm import ALPHABET, BOS, EOS
 from .runtime import ship
 
 MOST_ORDER = 6
+#: Contexts of higher orders are told apart by the last two bytes, of these orders there are 2**16 windows at most.
+LOW = 1
 PIECE = 1 << 18
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -105,15 +109,22 @@ class Lookup:
 
 
 class Trie:
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, order: int) -> None:
-        """``keys``: distinct windows of order + 1 bytes, with their counts."""
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, order: int, low: tuple[np.ndarray, np.ndarray] | None = None) -> None:
+        """``keys``: distinct windows of order + 1 bytes, with their counts.
+
+        They may be only those of some pairs of bytes before the symbol; ``low`` then has all windows of order ``LOW``.
+        """
         self.order = order
         by = np.argsort(keys)
         k, n = keys[by].astype(np.uint64, copy=False), counts[by].astype(np.float64)
         del by
         levels = {order: (k, n)}
         for o in range(order - 1, -1, -1):
-            k, n = summed([k & np.uint64((1 << (8 * (o + 1))) - 1)], [n])
+            if low is not None and o == LOW:
+                by = np.argsort(low[0])
+                k, n = low[0][by].astype(np.uint64, copy=False), low[1][by].astype(np.float64)
+            else:
+                k, n = summed([k & np.uint64((1 << (8 * (o + 1))) - 1)], [n])
             levels[o] = (k, n)
         self.levels = []
         above = None
@@ -161,7 +172,14 @@ class Trie:
         """log10 probability of each byte of ``part`` from the ``order``-th on; marks cost nothing."""
         keys = windows(part, self.order)
         out = np.zeros(len(keys))
-        todo = np.nonzero(part[self.order :] != BOS)[0]
+        real = part[self.order :] != BOS
+        out[real] = self.of_windows(keys[real])
+        return out
+
+    def of_windows(self, keys: np.ndarray) -> np.ndarray:
+        """log10 probability of the last byte of each window."""
+        out = np.zeros(len(keys))
+        todo = np.arange(len(keys))
         left, again = np.zeros(len(todo), np.float32), np.zeros(len(todo), np.float32)
         known = np.zeros(len(todo), bool)
         for o in range(self.order, -1, -1):
@@ -187,14 +205,18 @@ class Trie:
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
         """log10 probability of each text, its end included."""
-        whole, starts = joined(texts, self.order)
-        out = np.zeros(len(texts))
-        for at in range(0, max(0, len(whole) - self.order), PIECE):
-            to = min(at + PIECE, len(whole) - self.order)
-            values = self.values(whole[at : to + self.order])
-            i, j = int(np.searchsorted(starts, at, side="right")) - 1, int(np.searchsorted(starts, to))
-            out[i:j] += np.add.reduceat(values, np.maximum(starts[i:j], at) - at)
-        return out
+        return totals(self.values, *joined(texts, self.order), self.order)
+
+
+def totals(values_of: Callable[[np.ndarray], np.ndarray], whole: np.ndarray, starts: np.ndarray, order: int) -> np.ndarray:
+    """The sums of the values of each text's bytes."""
+    out = np.zeros(len(starts))
+    for at in range(0, max(0, len(whole) - order), PIECE):
+        to = min(at + PIECE, len(whole) - order)
+        values = values_of(whole[at : to + order])
+        i, j = int(np.searchsorted(starts, at, side="right")) - 1, int(np.searchsorted(starts, to))
+        out[i:j] += np.add.reduceat(values, np.maximum(starts[i:j], at) - at)
+    return out
 
 
 ship(__name__)
