@@ -10,10 +10,12 @@ an item if consistent windows cover half of the item's windows or ``RUN`` window
 
 The executors get a bitmap of the benchmark's window hashes that has a fixed size (``BITS`` bits), whatever
 the size of the benchmark; it only thins out the windows that go into the join, and a false hit costs a row.
-Windows with more than ``WINDOW - LITERALS`` slots are not used: they would fit unrelated tables.
+Windows with more than ``WINDOW - LITERALS`` numbers and units would fit unrelated tables as templates; they are
+exact windows, hashed with their values, and templates that are longer to the right or to the left (up to ``WIDE``
+tokens) until they have ``LITERALS`` literals.  So every window of an item counts.
 
-Items shorter than a window are one window of their own length, from ``LITERALS`` tokens on; shorter items
-can't be told from common speech and match nothing.  Defined results: null and empty texts match nothing;
+Items shorter than a window are one window of their own length.  Items of less than ``LITERALS`` tokens can't be
+told from common speech inside a sentence; they match exactly where they are whole sentences.  Defined results: null and empty texts match nothing;
 repeated rows are matched alike and reported once (rows are told apart by doc_id and text); an empty table
 on either side gives an empty result; only the result columns are returned.
 """
@@ -32,6 +34,7 @@ from pyspark.sql import functions as F
 from .runtime import durable, ship, trim
 
 WINDOW = 8
+WIDE = 32
 LITERALS = 5
 RUN = 6
 COVER = 0.5
@@ -59,6 +62,11 @@ def _avalanche(x: np.ndarray) -> np.ndarray:
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of all texts together: row of each token, its hash in the plain and in the named view, its slot value (0: literal in both)."""
+    return _tokens(texts)[:4]
+
+
+def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``tokens`` and whether each token begins a sentence."""
     words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
     row = np.repeat(np.arange(len(words)), pc.list_value_length(words).to_numpy(zero_copy_only=False))
     coded = words.flatten().dictionary_encode()
@@ -90,12 +98,18 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     out = np.where(typed, _TYPES["unit"], out)
     slot |= typed
     name = title[code] & ~first & ~slot
-    return row, out, np.where(name, _TYPES["name"], out), np.where(slot | name, values, np.uint64(0)).astype(np.uint64)
+    return row, out, np.where(name, _TYPES["name"], out), np.where(slot | name, values, np.uint64(0)).astype(np.uint64), first
 
 
 def windows(texts: pa.Array, lengths: list[int], bitmap: np.ndarray | None) -> dict[str, np.ndarray]:
-    """Windows of the given lengths (with ``bitmap``, those it has): row, pos, hash, slots (WINDOW wide), n (tokens of the text), length."""
-    row, plain, named, slots = tokens(texts)
+    """Windows of the given lengths (with ``bitmap``, those it has): row, pos, hash, slots (WIDE, by the first ``span``), n (tokens of the text), length (to the right of pos)."""
+    row, plain, named, slots, first = _tokens(texts)
+    # in the plain view names are literals
+    numbers = np.where(named != plain, np.uint64(0), slots)
+    literal = np.where(numbers != 0, numbers, plain)
+    before = np.concatenate(([0], np.cumsum(numbers != 0)))
+    begins = np.append(first, True)
+    begins[1:-1] |= row[1:] != row[:-1]
     sizes = np.bincount(row, minlength=len(texts))
     start = np.concatenate(([0], np.cumsum(sizes)[:-1]))
     found: list[tuple[np.ndarray, ...]] = []
@@ -112,18 +126,54 @@ def windows(texts: pa.Array, lengths: list[int], bitmap: np.ndarray | None) -> d
                 acc ^= acc >> np.uint64(31)
             hashes[view] = _avalanche(acc)
         fresh = hashes["named"] != hashes["plain"]
+        # windows of too few literals to be templates are exact; below LITERALS tokens, those that are whole sentences
+        exact = np.nonzero(inside & (length - (before[length:] - before[:-length]) < LITERALS))[0]
+        if length < LITERALS:
+            exact = exact[begins[exact] & begins[exact + length]]
+        acc = np.full(len(exact), ~np.uint64(length))
+        for j in range(length):
+            acc = (acc + literal[exact + j]) * _MIX
+            acc ^= acc >> np.uint64(31)
+        acc = _avalanche(acc)
+        if bitmap is not None:
+            known = bitmap[(acc >> np.uint64(64 - BITS)).astype(np.int64)]
+            exact, acc = exact[known], acc[known]
+        if length == WINDOW:
+            heavy = np.nonzero(inside & (length - (before[length:] - before[:-length]) < LITERALS))[0]
+            found.extend(_longer(heavy, row, plain, numbers, start, sizes, bitmap))
+        found.append((exact, acc, np.zeros((len(exact), WIDE), np.uint64), np.full(len(exact), length), np.full(len(exact), length)))
         for view, mask in (("plain", inside), ("named", inside & fresh)):
             h = hashes[view]
             at = np.nonzero(mask if bitmap is None else mask & bitmap[(h >> np.uint64(64 - BITS)).astype(np.int64)])[0]
-            # in the plain view names are literals
-            typed = slots if view == "named" else np.where(named != plain, np.uint64(0), slots)
-            grid = np.zeros((len(at), WINDOW), np.uint64)
+            typed = slots if view == "named" else numbers
+            grid = np.zeros((len(at), WIDE), np.uint64)
             grid[:, :length] = typed[at[:, None] + np.arange(length)]
             enough = length - (grid != 0).sum(axis=1) >= LITERALS
-            found.append((at[enough], h[at[enough]], grid[enough], np.full(int(enough.sum()), length)))
-    empty = (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros((0, WINDOW), np.uint64), np.zeros(0, np.int64))
-    at, hashed, grid, length = (np.concatenate(x) for x in zip(empty, *found))
-    return {"row": row[at], "pos": at - start[row[at]], "hash": hashed, "slots": grid, "n": sizes[row[at]], "length": length}
+            found.append((at[enough], h[at[enough]], grid[enough], *[np.full(int(enough.sum()), length)] * 2))
+    empty = (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros((0, WIDE), np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    at, hashed, grid, length, span = (np.concatenate(x) for x in zip(empty, *found))
+    return {"row": row[at], "pos": at - start[row[at]], "hash": hashed, "slots": grid, "n": sizes[row[at]], "length": length, "span": span}
+
+
+def _longer(at: np.ndarray, row: np.ndarray, plain: np.ndarray, numbers: np.ndarray, start: np.ndarray, sizes: np.ndarray, bitmap: np.ndarray | None) -> Iterator[tuple]:
+    """Windows at ``at`` that go on to the right or to the left until they have LITERALS literals."""
+    literals = np.concatenate(([0], np.cumsum(numbers == 0)))
+    low, high = start[row[at]], (start + sizes)[row[at]]
+    right = np.searchsorted(literals, literals[at] + LITERALS, side="left")
+    left = np.searchsorted(literals, literals[at + WINDOW] - LITERALS, side="right") - 1
+    for side, (begin, end) in enumerate(((at, right), (left, at + WINDOW))):
+        fits = (begin >= low) & (end <= high) & (end - begin <= WIDE)
+        own, begin, span = at[fits], begin[fits], (end - begin)[fits]
+        acc = span.astype(np.uint64) + np.uint64(1000 * (side + 1))
+        grid = np.zeros((len(own), WIDE), np.uint64)
+        for j in range(WIDE):
+            more = np.nonzero(j < span)[0]
+            x = (acc[more] + plain[begin[more] + j]) * _MIX
+            acc[more] = x ^ (x >> np.uint64(31))
+            grid[more, j] = numbers[begin[more] + j]
+        acc = _avalanche(acc)
+        known = np.ones(len(acc), bool) if bitmap is None else bitmap[(acc >> np.uint64(64 - BITS)).astype(np.int64)]
+        yield own[known], acc[known], grid[known], (begin + span - own)[known], span[known]
 
 
 def chunks(texts: pa.Array, most: int = CHUNK) -> Iterator[tuple[int, int]]:
@@ -155,7 +205,7 @@ def pieces(text: str, most: int = CHUNK) -> Iterator[tuple[bytes, int, int]]:
             parts = piece.rsplit(None, words)
             head = b" ".join(parts[-words:]) + b" "
             known = len(tokens(pa.array([head.decode("utf-8", "replace")]))[0])
-            if known > WINDOW or len(parts) <= words:
+            if known > WIDE or len(parts) <= words:
                 break
             words *= 2
         before, at = total - known, end
@@ -178,8 +228,8 @@ def _window_rows(lengths: list[int] | None, bitmap: np.ndarray | None):
             for at, n in chunks(texts):
                 part = texts.slice(at, n)
                 if lengths is None:  # a benchmark: items shorter than a window are one window
-                    got = windows(part, [*range(LITERALS, WINDOW + 1)], bitmap)
-                    own = got["length"] == np.minimum(got["n"], WINDOW)
+                    got = windows(part, [*range(1, WINDOW + 1)], bitmap)
+                    own = (got["length"] >= WINDOW) | (got["length"] == got["n"])
                     found = [{k: v[own] for k, v in got.items()}]
                 elif n == 1 and (pc.binary_length(part)[0].as_py() or 0) > 2 * CHUNK:
                     found = _windows_of_pieces(part[0].as_py(), lengths, bitmap)
@@ -188,8 +238,8 @@ def _window_rows(lengths: list[int] | None, bitmap: np.ndarray | None):
                 for got in found:
                     row = pa.array(got["row"] + at)
                     keys = [batch.column(i).take(row) for i in range(batch.num_columns - 1)]
-                    flat = pa.array(got["slots"].reshape(-1).view(np.int64))
-                    slots = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, WINDOW), pa.int32()), flat)
+                    flat = pa.array(got["slots"][np.arange(WIDE) < got["span"][:, None]].view(np.int64))
+                    slots = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(got["span"])), pa.int32()), flat)
                     yield pa.RecordBatch.from_arrays(
                         [*keys, pa.array(got["hash"].view(np.int64)), pa.array(got["pos"].astype(np.int64)), pa.array(got["n"].astype(np.int64)), slots],
                         names=[*batch.schema.names[:-1], "hash", "pos", "n", "slots"],
@@ -233,7 +283,7 @@ def contaminated(
     """
     bench = durable(benchmark_windows(benchmark, item_id, item_text))
     words = _bitmap(bench)
-    # at most WINDOW - LITERALS + 1 values
+    # at most WINDOW values
     lengths = sorted({WINDOW} | {r[0] for r in bench.select(F.least("n", F.lit(WINDOW)).cast("int")).distinct().collect()})
     def thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = np.unpackbits(words.view(np.uint8), bitorder="little").astype(bool)
