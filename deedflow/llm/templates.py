@@ -4,8 +4,9 @@ Texts become token sequences (punctuation at the ends of a word is dropped, case
 units after numbers, and, in a second view, names (capitalised words inside a sentence) are typed
 placeholders.  Windows of ``WINDOW`` tokens are hashed with the placeholders' types in place of their values,
 so a question asked again with other numbers or names has the same windows.  Document windows are
-hash-joined with benchmark windows; along one alignment of document and item every slot value of the item
-must stand for one value of the document, else the alignment does not count.  A document is contaminated by
+hash-joined with benchmark windows.  Windows equal in every slot value always count; of the others along one
+alignment of document and item every slot value of the item must stand for one value of the document, else
+they do not count.  A document is contaminated by
 an item if consistent windows cover half of the item's windows or ``RUN`` windows of one alignment match.
 
 The executors get a bitmap of the benchmark's window hashes that has a fixed size (``BITS`` bits), whatever
@@ -297,13 +298,19 @@ def contaminated(
     totals = bench.groupBy("item_id").agg(F.count_distinct("pos").alias("n_windows"))
     hits = rows.join(items, "hash")
     pairs = F.filter(F.arrays_zip("item_slots", "slots"), lambda p: p["item_slots"] != 0)
+    same = ~F.exists("pairs", lambda p: p["item_slots"] != p["slots"])
     aligned = (
         hits.withColumn("pairs", pairs)
+        .withColumn("same", same)
         .groupBy("doc_id", "text_hash", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"))
-        .agg(F.collect_set("item_pos").alias("at"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+        .agg(
+            F.collect_set("item_pos").alias("all"),
+            F.collect_set(F.when(F.col("same"), F.col("item_pos"))).alias("equal"),
+            F.array_distinct(F.flatten(F.collect_set(F.when(~F.col("same"), F.col("pairs"))))).alias("pairs"),
+        )
     )
-    consistent = aligned.where(F.size(F.array_distinct(F.transform("pairs", lambda p: p["item_slots"]))) == F.size("pairs"))
-    consistent = consistent.withColumn("changed", F.exists("pairs", lambda p: p["item_slots"] != p["slots"]))
+    one = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item_slots"]))) == F.size("pairs")
+    consistent = aligned.withColumn("at", F.when(one, F.col("all")).otherwise(F.col("equal"))).withColumn("changed", one & (F.size("pairs") > 0))
     each = consistent.select("doc_id", "text_hash", "item_id", "changed", F.size("at").alias("n_at"), F.explode("at").alias("pos"))
     each = each.groupBy("doc_id", "text_hash", "item_id", "pos").agg(F.max("n_at").alias("n_at"), F.min("changed").alias("changed"))
     summed = each.groupBy("doc_id", "text_hash", "item_id").agg(F.count("*").alias("n_covered"), F.max("n_at").alias("longest"), F.max("changed").alias("changed"))
