@@ -4,7 +4,8 @@ The page is parsed into a tree.  Parts that are never the article (scripts, styl
 footers, sidebars, notices, adverts, comments; by tag, role, class or id) are cut off.  Every text block
 gives points for its length and its commas to its parent, half to the grandparent and shares that shrink with
 the distance to further ancestors; a container's points are discounted by its link density.  The container
-with the most points is kept with its siblings that score well or are long running text with few links.  If
+with the most points is kept; if it lies in an article or main element, that element is (the nearest one), else
+its siblings that score well or are long running text with few links are kept with it.  If
 nothing scores, the whole body that is left is the text.
 
 Blocks follow page order, joined by one line feed; white space inside a block becomes one space.
@@ -247,6 +248,10 @@ def main_text(page: str | None) -> str:
     scored = _score(root, found)
     best = max(scored.values(), key=lambda n: n.points * (1.0 - _density(n)), default=root)
     score = best.points * (1.0 - _density(best))
+    node = best
+    while node is not None and node.tag not in ("article", "main"):
+        node = node.parent
+    best = node or best  # what lies beside the best container in its article belongs to it
     keep = {id(best)}
     if best.parent is not None and best.tag not in ("article", "main"):
         for kid in best.parent.kids:
