@@ -25,10 +25,11 @@ PRIORITIES = {"Merrion": 80, "Mount Merrion": 10}
 USUAL_PRIORITY = 50
 NON_UNIQUE_AREAS = ("Blackrock", "Milltown", "Churchtown", "Monkstown", "Shankill")
 BROAD_REFERENCES = ("DUBLIN", "DUBLIN 4", "DUBLIN 6", "DUBLIN 6W", "DUBLIN 14", "DUBLIN 16", "SOUTH DUBLIN", "DUN LAOGHAIRE RATHDOWN", "DÚN LAOGHAIRE RATHDOWN")
-POSTAL_DISTRICT = r"^(?:DUBLIN\s+\d{1,2}[A-Z]?|COUNTY\s+DUBLIN|DUBLIN)$"
-CAPITAL_CONTEXT = r"(?<![A-Z0-9])DUBLIN(?![A-Z0-9])"
+CAPITAL = "DUBLIN"
+#: What may follow the capital in a reference to no more than a postal district.
+DISTRICT = "^[0-9]{1,2}[A-Z]?$"
 #: An area that is not meant where the address names the authority of the same name.
-BLOCKED = ("Dún Laoghaire", r"DUN\s+LAOGHAIRE\s*(?:-\s*)?RATHDOWN")
+BLOCKED = ("Dún Laoghaire", ("DUN LAOGHAIRE RATHDOWN", "DUN LAOGHAIRE - RATHDOWN", "DUN LAOGHAIRERATHDOWN"))
 
 SCOPE_BY_AREA = {a: "inference" for a in INFERENCE_AREAS} | {a: "training_only" for a in TRAINING_AREAS}
 

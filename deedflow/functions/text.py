@@ -12,22 +12,12 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Characters folded to an apostrophe and to a hyphen, and abbreviations that are written out.
+# Characters folded to an apostrophe and to a hyphen, words that lose their dot, and abbreviations that are written out.
 APOSTROPHES = "‘’‛′´`"
 DASHES = "‐‑‒–—−"
+SHORT_WORD = "[A-Z]{1,4}"
 ABBREVIATIONS = (("RD", "ROAD"), ("ST", "STREET"), ("AVE", "AVENUE"), ("AV", "AVENUE"), ("CO", "COUNTY"))
-
-#: (pattern, replacement) pairs, applied in this order to upper-cased and trimmed text.
-_TIDY = (
-    (r"\s+", " "),
-    (r"\s*,\s*", ", "),
-    (r",\s*,+", ", "),
-    (r"\.{2,}", "."),
-    (r"\b([A-Z]{1,4})\.(?=\s|,|$)", r"\1"),
-    (r"\s*-\s*", " - "),
-    (r"\s+", " "),
-    (r"\s+,", ","),
-)
+_WITHOUT_MARKS = dict.fromkeys(code for code in range(0x20000) if unicodedata.combining(chr(code)))
 
 
 def trim_ws(c: Column) -> Column:
@@ -40,43 +30,50 @@ def blank_to_null(c: Column) -> Column:
     return F.when(trim_ws(c) != "", c)
 
 
-def _java(pattern: str) -> str:
-    return "(?U)" + pattern
+def _word(word: Column) -> Column:
+    """A word with runs of dots as one, and without the dot that ends a short Latin word."""
+    word = F.regexp_replace(word, r"\.+", ".")
+    bare = F.substring(word, F.lit(1), F.length(word) - 1)
+    last = F.element_at(F.split(bare, r"(?U)\W"), -1)
+    return F.when(F.endswith(word, F.lit(".")) & last.rlike(f"^{SHORT_WORD}$"), bare).otherwise(word)
 
 
 def normalise(c: Column, compose: bool = False) -> Column:
     """Upper-case text with uniform spacing, punctuation and written-out abbreviations.
 
-    ``compose`` brings text that may hold combining marks into composed form first.
+    The parts between commas are tidied word by word, and empty ones go.  Latin letters with combining marks are
+    composed; ``compose`` composes every script, through a Python function.
     """
-    if compose:
-        from .unicode import composed
-
-        c = composed(c)
-    out = F.translate(c, APOSTROPHES + DASHES, "'" * len(APOSTROPHES) + "-" * len(DASHES))
-    out = trim_ws(F.upper(out))
-    for pattern, put in _TIDY:
-        out = F.regexp_replace(out, _java(pattern), put.replace(r"\1", "$1"))
-    out = F.btrim(out, F.lit(" ,."))
-    for short, whole in ABBREVIATIONS:
-        out = F.regexp_replace(out, _java(rf"\b{short}\b"), whole)
-    return out
+    from .unicode import composed, composed_latin
+
+    c = composed(c) if compose else composed_latin(c)
+    out = F.upper(F.translate(c, APOSTROPHES + DASHES, "'" * len(APOSTROPHES) + "-" * len(DASHES)))
+    words = lambda part: F.filter(F.split(part, r"(?U)\s+"), lambda w: w != "")
+    spaced = lambda part: F.array_join(F.transform(words(part), lambda w: F.replace(_word(w), F.lit("-"), F.lit(" - "))), " ")
+    parts = F.transform(F.split(out, ","), lambda part: F.array_join(words(spaced(part)), " "))
+    out = F.btrim(F.array_join(F.filter(parts, lambda part: part != ""), ", "), F.lit(" ,."))
+    whole = F.create_map(*(F.lit(x) for pair in ABBREVIATIONS for x in pair))
+    runs = F.transform(F.regexp_extract_all(out, F.lit(r"(?U)\w+|\W+"), 0), lambda run: F.coalesce(F.element_at(whole, run), run))
+    return F.array_join(runs, "")
 
 
 def normalise_text(value: str) -> str:
-    """Python twin of ``normalise``."""
-    out = unicodedata.normalize("NFC", value)
-    out = out.translate(str.maketrans(APOSTROPHES + DASHES, "'" * len(APOSTROPHES) + "-" * len(DASHES))).upper().strip()
-    for pattern, put in _TIDY:
-        out = re.sub(pattern, put, out)
-    out = out.strip(" ,.")
-    for short, whole in ABBREVIATIONS:
-        out = re.sub(rf"\b{short}\b", whole, out)
-    return out
+    """Python twin of ``normalise``, for every script."""
+
+    def tidy(word: str) -> str:
+        word = re.sub(r"\.+", ".", word)
+        ends_short = word.endswith(".") and re.fullmatch(SHORT_WORD, re.split(r"\W", word[:-1])[-1])
+        return (word[:-1] if ends_short else word).replace("-", " - ")
+
+    folded = {**dict.fromkeys(map(ord, APOSTROPHES), "'"), **dict.fromkeys(map(ord, DASHES), "-")}
+    parts = unicodedata.normalize("NFC", value).translate(folded).upper().split(",")
+    parts = [" ".join(" ".join(tidy(word) for word in part.split()).split()) for part in parts]
+    whole = dict(ABBREVIATIONS)
+    return "".join(whole.get(run, run) for run in re.findall(r"\w+|\W+", ", ".join(filter(None, parts)).strip(" ,.")))
 
 
 def fold_text(value: str) -> str:
-    return "".join(ch for ch in unicodedata.normalize("NFKD", value) if not unicodedata.combining(ch))
+    return unicodedata.normalize("NFKD", value).translate(_WITHOUT_MARKS)
 
 
 def _folding() -> tuple[str, str, str, list[tuple[str, str]]]:

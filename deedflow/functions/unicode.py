@@ -1,10 +1,13 @@
 """Unicode normal forms for text that is not composed already.
 
-Spark has no built-in for them, so these are Arrow-batched functions; text decoded from Windows-1252 needs none.
+Spark has no built-in for them.  Latin letters with marks are composed by a table; for other scripts there are
+Arrow-batched functions.  Text decoded from Windows-1252 needs neither.
 """
 
 from __future__ import annotations
 
+import unicodedata
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,6 +28,25 @@ def _form(name: str, strip_marks: bool = False):
     return F.pandas_udf(run, "string")
 
 
+def _latin() -> dict[str, str]:
+    """Decomposed and half composed Latin letters to their composed form."""
+    found = {}
+    for ch in map(chr, [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]):
+        whole = unicodedata.normalize("NFD", ch)
+        for n in range(1, len(whole)):
+            found[unicodedata.normalize("NFC", whole[:n]) + whole[n:]] = ch
+            found[whole[:n] + whole[n:]] = ch
+    return found
+
+
+def composed_latin(c: Column) -> Column:
+    """Latin letters with marks composed; only texts that hold a combining mark are taken apart."""
+    table = F.create_map(*(F.lit(x) for pair in _latin().items() for x in pair))
+    letters = F.regexp_extract_all(c, F.lit(r"(?s).\p{M}*"), 0)
+    whole = F.array_join(F.transform(letters, lambda x: F.coalesce(F.element_at(table, x), x)), "")
+    return F.when(c.rlike(r"\p{M}"), whole).otherwise(c)
+
+
 def composed(c: Column) -> Column:
     return _form("NFC")(c)
 

@@ -66,6 +66,15 @@ def candidates(text: Column, aliases: Sequence[Alias]) -> Column:
     return F.array_sort(F.array_compact(F.array(*found)))
 
 
+def district_only(text: Column) -> Column:
+    """Whether the text is the capital, its county or one of its postal districts and nothing else."""
+    words = F.split(text, r"(?U)\s+")
+    first, second = F.get(words, F.lit(0)), F.get(words, F.lit(1))
+    named = (first == areas.CAPITAL) & (second.isNull() | second.rlike(areas.DISTRICT))
+    county = (first == "COUNTY") & (second == areas.CAPITAL)
+    return T.is_true((F.size(words) <= 2) & (named | county))
+
+
 def map_areas(df: DataFrame, aliases: Sequence[Alias], overrides: Sequence[Override] = (), record_id: str = "record_id", county: str = "county_raw") -> DataFrame:
     """Append the geography fields.  Overrides win over everything; then come context, blocked names, single and resolved candidates."""
     require(df, [record_id, county, "address_match_text", "address_normalization_status"], "area matching")
@@ -74,9 +83,10 @@ def map_areas(df: DataFrame, aliases: Sequence[Alias], overrides: Sequence[Overr
     staged = df.withColumns({"__named": F.coalesce(candidates(text, aliases), F.array().cast("array<struct<priority:bigint,area:string,scope:string,method:string,alias:string,text:string>>")), "__county": place})
     named, place = F.col("__named"), F.col("__county")
     elsewhere = (place != "") & (place != "DUBLIN")
-    context = (place == "DUBLIN") | T.is_true(text.rlike(areas.CAPITAL_CONTEXT))
-    blocked_area, blocked = areas.BLOCKED
-    allowed = F.filter(named, lambda m: ~((m["area"] == blocked_area) & F.col("address_match_text").rlike(blocked)))
+    context = (place == "DUBLIN") | T.is_true(T.has_phrase(text, areas.CAPITAL))
+    blocked_area, phrases = areas.BLOCKED
+    authority = F.exists(F.array(*map(F.lit, phrases)), lambda p: F.contains(F.col("address_match_text"), p))
+    allowed = F.filter(named, lambda m: ~((m["area"] == blocked_area) & authority))
     staged = staged.withColumns({"__allowed": allowed, "__context": context})
     allowed, context = F.col("__allowed"), F.col("__context")
     invalid = F.col("address_normalization_status").isin("missing", "too_short") | (F.coalesce(text, F.lit("")) == "")
@@ -89,7 +99,7 @@ def map_areas(df: DataFrame, aliases: Sequence[Alias], overrides: Sequence[Overr
     flags = T.which(
         [
             (invalid, "invalid_or_missing_address"),
-            (~invalid & (text.rlike(areas.POSTAL_DISTRICT) | text.isin(*areas.BROAD_REFERENCES)), "broad_dublin_reference_only"),
+            (~invalid & (district_only(text) | text.isin(*areas.BROAD_REFERENCES)), "broad_dublin_reference_only"),
             (~invalid & (F.size(named) > 0) & elsewhere, "conflicting_county_context"),
             (~invalid & F.exists(named, lambda m: m["area"].isin(*areas.NON_UNIQUE_AREAS)), "non_unique_locality_name"),
             (~invalid & ~context & (F.size(named) > 0), "canonical_alias_outside_expected_dublin_context"),

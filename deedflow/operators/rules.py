@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,13 +18,10 @@ MULTI_PROPERTY_FIELDS = (
 )
 SCOPE_FIELDS = ("property_scope_status", "property_scope_rule_ids", "property_scope_reason")
 CONFIDENCE = {"none": "high", "review_only": "medium", "auto_exclude": "low"}
-# Wording that tells a dwelling is no house, and wording that leaves it open.
-SCOPE_RULES = (
-    ("PROP001", r"(?i)\bAPARTMENTS?\b", "explicit apartment wording"),
-    ("PROP002", r"(?i)\bFLATS?\b", "explicit flat wording"),
-    ("PROP003", r"(?i)\bAPT\b\.?\s*(?:NO\.?\s*)?[A-Z0-9]+\b", "APT abbreviation with an identifier"),
-)
-REVIEW_RULE = ("PROP101", r"(?i)\bUNITS?\b", "ambiguous UNIT wording")
+# Words that tell a dwelling is no house, and words that leave it open.
+SCOPE_WORDS = (("PROP001", ("APARTMENT", "APARTMENTS"), "explicit apartment wording"), ("PROP002", ("FLAT", "FLATS"), "explicit flat wording"))
+NUMBERED_WORD = ("PROP003", "APT", "APT abbreviation with an identifier")
+REVIEW_WORDS = ("PROP101", ("UNIT", "UNITS"), "ambiguous UNIT wording")
 
 
 def rule_hit(text: Column, rule: Rule) -> Column:
@@ -62,13 +61,16 @@ def assess_multi_property(df: DataFrame, rules: Sequence[Rule], address: str = "
 def assess_scope(df: DataFrame, address: str = "address_normalized") -> DataFrame:
     require(df, [address], "property scope")
     text = F.coalesce(F.col(address), F.lit(""))
-    clear = F.lit(False)
-    found = []
-    for rule_id, pattern, reason in SCOPE_RULES:
-        clear = clear | text.rlike(pattern)
-        found.append((text.rlike(pattern), rule_id, reason))
-    review = text.rlike(REVIEW_RULE[1]) & ~clear
-    found.append((review, REVIEW_RULE[0], REVIEW_RULE[2]))
+    words = F.regexp_extract_all(F.upper(text), F.lit(r"(?U)\w+"), 0)
+    says = lambda some: F.arrays_overlap(words, F.array(*map(F.lit, some)))
+    found = [(says(some), rule_id, reason) for rule_id, some, reason in SCOPE_WORDS]
+    rule_id, short, reason = NUMBERED_WORD
+    # the word, a space or dot, and what begins like an identifier
+    found.append((F.upper(text).rlike(rf"(?U)\b{short}[.\s]+[A-Z0-9]"), rule_id, reason))
+    clear = reduce(or_, (hit for hit, _, _ in found))
+    rule_id, some, reason = REVIEW_WORDS
+    review = says(some) & ~clear
+    found.append((review, rule_id, reason))
     return df.withColumns(
         {
             "property_scope_status": F.when(clear, "clearly_non_house").when(review, "review_required").otherwise("unresolved_house_or_apartment"),

@@ -114,14 +114,13 @@ FROM n
 
 
 def _tidy() -> str:
-    c = f"translate(raw_address, '{text.APOSTROPHES}{text.DASHES}', '{"''" * len(text.APOSTROPHES)}{'-' * len(text.DASHES)}')"
-    c = _trim(f"upper({c})")
-    for pattern, put in (
-        (r"\s+", " "), (r"\s*,\s*", ", "), (r",\s*,+", ", "), (r"\.{2,}", "."), (r"\b([A-Z]{1,4})\.(\s|,|$)", r"\1\2"), (r"\s*-\s*", " - "), (r"\s+", " "), (r"\s+,", ","),
-        (r"^[ ,.]+|[ ,.]+$", ""), *((rf"\b{a}\b", b) for a, b in text.ABBREVIATIONS),
-    ):
-        c = f"regexp_replace({c}, '{pattern}', '{put}', 'g')"
-    return c
+    upper = f"upper(translate(raw_address, '{text.APOSTROPHES}{text.DASHES}', '{"''" * len(text.APOSTROPHES)}{'-' * len(text.DASHES)}'))"
+    split = lambda c: rf"list_filter(regexp_split_to_array({c}, '\s+'), lambda w: w <> '')"
+    word = r"replace(regexp_replace(regexp_replace(w, '\.+', '.', 'g'), '((?:^|[^\w\pL])[A-Z]{1,4})\.$', '\1'), '-', ' - ')"
+    part = f"array_to_string({split(f"array_to_string(list_transform({split('p')}, lambda w: {word}), ' ')")}, ' ')"
+    joined = f"trim(array_to_string(list_filter(list_transform(string_split({upper}, ','), lambda p: {part}), lambda p: p <> ''), ', '), ' ,.')"
+    run = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in text.ABBREVIATIONS)
+    return rf"array_to_string(list_transform(regexp_extract_all({joined}, '[\w\pL]+|[^\w\pL]+'), lambda r: CASE r {run} ELSE r END), '')"
 
 
 ADDRESS_CTE = f"""
@@ -146,6 +145,7 @@ addressed AS (
 def _areas() -> str:
     aliases = values([(a.area, a.alias, a.scope, a.match_type, a.priority, a.text) for a in configs.read_aliases()], "al(area, alias, scope, method, priority, txt)")
     blocked_area, blocked = areas.BLOCKED
+    authority = " OR ".join(f"contains(address_match_text, '{p}')" for p in blocked)
     broad = ", ".join(f"'{b}'" for b in areas.BROAD_REFERENCES)
     unusual = ", ".join(f"'{a}'" for a in areas.NON_UNIQUE_AREAS)
     listed = lambda f: f"coalesce((SELECT string_agg(x, '|' ORDER BY x) FROM (SELECT DISTINCT unnest(list_transform(shown, lambda m: m.{f}::VARCHAR)) AS x) AS d), '')"
@@ -160,7 +160,7 @@ named AS (
   SELECT p_partkey, list({{'priority': priority, 'area': area, 'scope': scope, 'method': method, 'alias': alias, 'txt': txt}} ORDER BY priority, area) AS named FROM hits WHERE nth = 1 GROUP BY p_partkey),
 judged AS (
   SELECT a.*, coalesce(named, []) AS named,
-         list_filter(coalesce(named, []), lambda m: NOT (m.area = '{blocked_area}' AND regexp_matches(address_match_text, '{blocked}'))) AS allowed,
+         list_filter(coalesce(named, []), lambda m: NOT (m.area = '{blocked_area}' AND ({authority}))) AS allowed,
          upper(trim(county_raw)) AS county,
          upper(trim(county_raw)) = 'DUBLIN' OR coalesce(regexp_matches(address_match_text, '(^|[^A-Z0-9])DUBLIN([^A-Z0-9]|$)'), false) AS context,
          address_normalization_status <> 'normalized' AS invalid
@@ -182,7 +182,7 @@ mapped AS (
          {listed("area")} AS geography_candidate_areas,
          array_to_string(list_sort(list_filter([
            CASE WHEN invalid THEN 'invalid_or_missing_address' END,
-           CASE WHEN NOT invalid AND (regexp_matches(address_match_text, '{areas.POSTAL_DISTRICT}') OR address_match_text IN ({broad})) THEN 'broad_dublin_reference_only' END,
+           CASE WHEN NOT invalid AND (address_match_text IN ('{areas.CAPITAL}', 'COUNTY {areas.CAPITAL}') OR regexp_matches(address_match_text, '^{areas.CAPITAL} [0-9][0-9]?[A-Z]?$') OR address_match_text IN ({broad})) THEN 'broad_dublin_reference_only' END,
            CASE WHEN NOT invalid AND len(named) > 0 AND county NOT IN ('', 'DUBLIN') THEN 'conflicting_county_context' END,
            CASE WHEN NOT invalid AND len(list_filter(named, lambda m: m.area IN ({unusual}))) > 0 THEN 'non_unique_locality_name' END,
            CASE WHEN NOT invalid AND NOT context AND len(named) > 0 THEN 'canonical_alias_outside_expected_dublin_context' END,
@@ -227,11 +227,14 @@ FROM summed
 
 SCOPE_SQL = f"""
 WITH places AS ({plain(PLACES)}), tidied AS (SELECT *, {_tidy()} AS tidy FROM places),
-found AS (SELECT *, {", ".join(f"regexp_matches(tidy, '{p}') AS r{i}" for i, (_, p, _) in enumerate(rules.SCOPE_RULES))}, regexp_matches(tidy, '{rules.REVIEW_RULE[1]}') AS u FROM tidied),
+found AS (
+  SELECT *, regexp_matches(' ' || tidy || ' ', '\\W(APARTMENT|APARTMENTS)\\W') AS r0, regexp_matches(' ' || tidy || ' ', '\\W(FLAT|FLATS)\\W') AS r1,
+         regexp_matches(' ' || tidy, '\\WAPT[. ]+[A-Z0-9]') AS r2, regexp_matches(' ' || tidy || ' ', '\\W(UNIT|UNITS)\\W') AS u FROM tidied),
 judged AS (SELECT *, r0 OR r1 OR r2 AS clear, u AND NOT (r0 OR r1 OR r2) AS review FROM found)
 SELECT p_partkey, CASE WHEN clear THEN 'clearly_non_house' WHEN review THEN 'review_required' ELSE 'unresolved_house_or_apartment' END AS property_scope_status,
-       concat_ws('|', {", ".join(f"CASE WHEN r{i} THEN '{r}' END" for i, (r, _, _) in enumerate(rules.SCOPE_RULES))}, CASE WHEN review THEN '{rules.REVIEW_RULE[0]}' END) AS property_scope_rule_ids,
-       concat_ws('|', {", ".join(f"CASE WHEN r{i} THEN '{t}' END" for i, (_, _, t) in enumerate(rules.SCOPE_RULES))}, CASE WHEN review THEN '{rules.REVIEW_RULE[2]}' END) AS property_scope_reason
+       concat_ws('|', CASE WHEN r0 THEN 'PROP001' END, CASE WHEN r1 THEN 'PROP002' END, CASE WHEN r2 THEN 'PROP003' END, CASE WHEN review THEN 'PROP101' END) AS property_scope_rule_ids,
+       concat_ws('|', CASE WHEN r0 THEN 'explicit apartment wording' END, CASE WHEN r1 THEN 'explicit flat wording' END,
+                 CASE WHEN r2 THEN 'APT abbreviation with an identifier' END, CASE WHEN review THEN 'ambiguous UNIT wording' END) AS property_scope_reason
 FROM judged
 """
 

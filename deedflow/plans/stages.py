@@ -75,7 +75,7 @@ def cleaning_audits(df: DataFrame, rule_set: Sequence[configs.Rule]) -> dict[str
     near = df.where(tier.isin("exact_source_duplicate", "plausible_duplicate_publication", "unresolved_duplicate_like"))
     families = {
         "multi_property_rule_ids": [r.rule_id for r in rule_set],
-        "property_scope_rule_ids": [*(r for r, _, _ in rules.SCOPE_RULES), rules.REVIEW_RULE[0]],
+        "property_scope_rule_ids": [*(r for r, _, _ in rules.SCOPE_WORDS), rules.NUMBERED_WORD[0], rules.REVIEW_WORDS[0]],
         "duplicate_rule_ids": ["DUP001", "DUP002", "DUP003", "DUP004"],
         "exclusion_rule_ids": [r for _, r in cleaning.REASONS],
     }

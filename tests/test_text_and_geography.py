@@ -156,3 +156,20 @@ def test_stream_equals_batch(spark, tmp_path):
     running.processAllAvailable()
     running.stop()
     assert sorted(map(tuple, spark.table("enriched").collect())) == sorted(map(tuple, enrich_stream(df, aliases, rules).collect()))
+
+
+def test_tidying_by_parts_and_words(spark):
+    cases = {
+        "a,,,b": "A, B", ", a , , b ,": "A, B", "st.-x rd.": "ST. - X ROAD", "o'co. x": "O'COUNTY X", "abcde. x": "ABCDE. X", "Úst. x": "ÚST. X", "a.b. c..d": "A.B C.D", "x--y": "X - - Y",
+        "dún   laoghaire": "DÚN LAOGHAIRE", "": "",
+    }
+    df = spark.createDataFrame(list(cases.items()), "t string, want string")
+    for r in df.withColumn("got", T.normalise(F.col("t"))).collect():
+        assert r["got"] == r["want"] == T.normalise_text(r["t"])
+
+
+def test_references_to_a_district_alone(spark):
+    yes = ["DUBLIN", "COUNTY DUBLIN", "DUBLIN 4", "DUBLIN 6W", "DUBLIN 16"]
+    no = ["DUBLIN 123", "DUBLIN 4 X", "MAIN STREET DUBLIN", "COUNTY", "DUBLIN W", ""]
+    df = spark.createDataFrame([(t,) for t in yes + no], "t string")
+    assert [r["t"] for r in df.where(geography.district_only(F.col("t"))).collect()] == yes
