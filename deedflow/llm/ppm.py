@@ -1,7 +1,8 @@
 """Prediction by partial matching over bytes with frozen statistics.
 
-A trie of byte contexts up to order ``ORDER`` is kept as a table: a row for each context that was seen, a
-column for each symbol.  Escapes follow method C (an escape counts as often as there are distinct symbols)
+The order is ``ORDER`` for any number of languages.  Tries of byte contexts whose tables have ``CELLS`` cells at most are kept as one table: a row for each context that was seen, a
+column for each symbol.  More or larger ones are kept as sparse tries (``Tries``), which hold only what was seen
+and give the same code lengths.  Escapes follow method C (an escape counts as often as there are distinct symbols)
 and symbols of the longer context are excluded from the shorter one, so every row is a whole distribution,
 worked out once.  Because every suffix of a seen context was seen with at least the same symbols, what is
 excluded at one step is exactly what the context before had; each row follows from its parent's.
@@ -14,15 +15,16 @@ from __future__ import annotations
 
 import numpy as np
 
+from . import trie
 from .runtime import ship
+from .trie import ALPHABET, BOS, EOS
 
 ORDER = 3
-BOS, EOS = 0xFE, 0xFF
-#: Size of the alphabet that a symbol never seen at all is drawn from: all bytes and the end.
-ALPHABET = 257
-#: Cells (contexts x symbols x models) of a table; 2**24 four-byte floats are 64 MiB.  Order 2 always fits.
+#: Cells (contexts x symbols x models) of a table at most; 2**24 four-byte floats are 64 MiB.
 CELLS = 1 << 24
 PIECE = 1 << 19
+#: Distinct windows of so many bytes of text are looked up together in sparse tries.
+SPAN = 1 << 22
 
 
 def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -61,7 +63,7 @@ class Model:
     row, column and trie.
     """
 
-    def __init__(self, tries: list[tuple[np.ndarray, np.ndarray]], order: int | None = None) -> None:
+    def __init__(self, tries: list[tuple[np.ndarray, np.ndarray]], order: int = ORDER) -> None:
         keys = [k.astype(np.uint32) for k, _ in tries]
         every = np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.uint32)
         seen = np.unique(np.concatenate([(every >> np.uint32(8 * i)) & np.uint32(255) for i in range(4)]))
@@ -71,9 +73,6 @@ class Model:
         a = self.width
         col = [self.symbol[(every >> np.uint32(8 * i)) & np.uint32(255)] for i in (3, 2, 1, 0)]
         path = [np.zeros(len(every), np.int64), col[2], col[1] * a + col[2], (col[0] * a + col[1]) * a + col[2]]
-        sizes = [len(np.unique(p)) for p in path]
-        if order is None:
-            order = next((k for k in (3, 2, 1) if sum(sizes[: k + 1]) * a * max(1, len(tries)) <= CELLS), 0)
         self.order = order
         # rows: the root, then the contexts of each order
         ids = [np.zeros(1, np.int64)] + [np.unique(p) for p in path[1 : order + 1]]
@@ -96,12 +95,12 @@ class Model:
 
     def state(self) -> tuple:
         """Plain arrays, for a broadcast that workers keep between tasks and can read without this code."""
-        return self.order, self.width, self.symbol, self.context, self.table
+        return "table", self.order, self.width, self.symbol, self.context, self.table
 
     @classmethod
     def of(cls, state: tuple) -> Model:
         new = cls.__new__(cls)
-        new.order, new.width, new.symbol, new.context, new.table = state
+        _, new.order, new.width, new.symbol, new.context, new.table = state
         return new
 
     def _fill(self, t: int, keys: np.ndarray, counts: np.ndarray, ids: list[np.ndarray], first: np.ndarray) -> None:
@@ -143,6 +142,58 @@ class Model:
         return out
 
 
+class Tries:
+    """One sparse trie for each language."""
+
+    def __init__(self, tries: list[tuple[np.ndarray, np.ndarray]], order: int = ORDER) -> None:
+        mask = np.uint64((1 << (8 * (order + 1))) - 1)
+        self.order = order
+        self.tries = [trie.Trie(*trie.summed([k.astype(np.uint32).astype(np.uint64) & mask], [n]), order, method="C") for k, n in tries]
+
+    def state(self) -> tuple:
+        return "tries", self.order, [t.state() for t in self.tries]
+
+    @classmethod
+    def of(cls, state: tuple) -> Tries:
+        new = cls.__new__(cls)
+        _, new.order, tries = state
+        new.tries = [trie.Trie.of(t) for t in tries]
+        return new
+
+    def scores(self, texts: list[bytes]) -> np.ndarray:
+        """log10 probability of each text, its end included, under each trie."""
+        whole, starts = trie.joined(texts, self.order)
+        out = np.zeros((len(texts), len(self.tries)))
+        for at in range(0, max(0, len(whole) - self.order), SPAN):
+            to = min(at + SPAN, len(whole) - self.order)
+            part = whole[at : to + self.order]
+            real = part[self.order :] != BOS
+            some, back = np.unique(trie.windows(part, self.order)[real], return_inverse=True)
+            i, j = int(np.searchsorted(starts, at, side="right")) - 1, int(np.searchsorted(starts, to))
+            for t, one in enumerate(self.tries):
+                values = np.zeros(to - at)
+                values[real] = one.of_windows(some)[back]
+                out[i:j, t] += np.add.reduceat(values, np.maximum(starts[i:j], at) - at)
+        return out
+
+
+def cells(tries: list[tuple[np.ndarray, np.ndarray]]) -> int:
+    """How many cells a table of all tries would have."""
+    every = np.unique(np.concatenate([k.astype(np.uint32) for k, _ in tries]))
+    symbols = len(np.unique(every.view(np.uint8))) + 1
+    contexts = sum(len(np.unique((every >> np.uint32(8)) & np.uint32((1 << (8 * o)) - 1))) for o in range(1, ORDER + 1))
+    return (contexts + 1) * symbols * len(tries)
+
+
+def model_of(tries: list[tuple[np.ndarray, np.ndarray]], most: int = CELLS) -> Model | Tries:
+    """The tries as a table if it has at most so many cells, else sparse."""
+    return Model(tries) if cells(tries) <= most else Tries(tries)
+
+
+def frozen(state: tuple) -> Model | Tries:
+    return (Model if state[0] == "table" else Tries).of(state)
+
+
 def _mixed(c: np.ndarray, parent: np.ndarray, parent_p: np.ndarray) -> np.ndarray:
     """Distributions of contexts with counts ``c``, from their parents' counts and distributions."""
     seen = c > 0

@@ -6,7 +6,9 @@ stored.  A symbol found at the longest known context has probability (2c - 1) /
 context x its suffix is read without the symbols seen after x, so what x's suffix has left (rn symbols
 counted, rd distinct) is a number of x alone, kept with x.
 
-Texts begin with ``ppm.BOS`` bytes and end with ``ppm.EOS``.  A window of ``order + 1`` bytes is one unsigned
+Method C gives the escape a whole count for each distinct symbol: a symbol has c / (N + d) there, d the distinct ones.
+
+Texts begin with ``BOS`` bytes and end with ``EOS``.  A window of ``order + 1`` bytes is one unsigned
 64-bit key, so the order is 6 at most.
 """
 
@@ -16,9 +18,11 @@ from collections.abc import Callable
 
 import numpy as np
 
-from .ppm import ALPHABET, BOS, EOS
 from .runtime import ship
 
+BOS, EOS = 0xFE, 0xFF
+#: Size of the alphabet that a symbol never seen at all is drawn from: all bytes and the end.
+ALPHABET = 257
 MOST_ORDER = 6
 #: Contexts of higher orders are told apart by the last two bytes, of these orders there are 2**16 windows at most.
 LOW = 1
@@ -109,7 +113,7 @@ class Lookup:
 
 
 class Trie:
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, order: int, low: tuple[np.ndarray, np.ndarray] | None = None) -> None:
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, order: int, low: tuple[np.ndarray, np.ndarray] | None = None, method: str = "D") -> None:
         """``keys``: distinct windows of order + 1 bytes, with their counts.
 
         They may be only those of some pairs of bytes before the symbol; ``low`` then has all windows of order ``LOW``.
@@ -144,11 +148,12 @@ class Trie:
                 rn = ptotal[parent] - (np.add.reduceat(pn[up], first) if len(first) else 0.0)
                 rd = pdistinct[parent] - distinct
             pairs, contexts = Lookup(k), Lookup(context[first])
+            count, whole, rest = (2 * n - 1, 2 * total, 2 * rn) if method == "D" else (n, total + distinct, rn + rd)
             kept = {
-                "first": (pairs, np.log10((2 * n - 1) / (2 * total)[own])), "count": (pairs, np.log10(2 * n - 1)), "escape": (contexts, np.log10(distinct / (2 * total))),
+                "first": (pairs, np.log10(count / whole[own])), "count": (pairs, np.log10(count)), "escape": (contexts, np.log10(distinct / whole)),
                 # of the suffix, without what was seen here; where nothing is left the step is free
-                "left": (contexts, np.where(rd > 0, np.log10(np.maximum(2 * rn, 1)), 0.0)),
-                "again": (contexts, np.where(rd > 0, np.log10(np.maximum(rd, 1) / np.maximum(2 * rn, 1)), 0.0)),
+                "left": (contexts, np.where(rd > 0, np.log10(np.maximum(rest, 1)), 0.0)),
+                "again": (contexts, np.where(rd > 0, np.log10(np.maximum(rd, 1) / np.maximum(rest, 1)), 0.0)),
             }
             self.levels.append({name: values[at.order].astype(np.float32) for name, (at, values) in kept.items()} | {"pairs": Lookup.of(pairs.state()), "contexts": Lookup.of(contexts.state())})
             del kept, pairs, contexts, context
