@@ -6,7 +6,7 @@ the first language by name).  The score is the winner's share when code lengths
 
 Training counts byte windows of at most ``SAMPLE`` whole texts of each language, those with the least hash of id,
 language and text (repeated rows count once); only the summed counts come to the driver.  Rows are thinned by their
-hash first, at a rate from the language's count, so a language that holds most rows sends no more than another.
+hash first, at a rate from the language's number of different rows, so a language that holds most rows sends no more than another.
 
 Code length: a text whose best trie needs ``UNEXPLAINED`` bits for each of its bytes, or more, is not explained better than
 by drawing bytes at random; ``judge`` can return the bits.
@@ -64,7 +64,7 @@ def learn(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
     order = F.xxhash64(F.col(doc_id), F.col(lang), F.col(text))
     rows = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"), order.alias("order"))
     # as many rows as there are languages
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("rows"))
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("order").alias("rows"))
     share = F.least(F.lit(1.0), F.lit(float(ROOM * sample + LEAST)) / F.col("rows"))
     limits = F.broadcast(durable(sizes.select(F.col("lang").alias("of"), (F.lit(-(2.0**63)) + share * F.lit(2.0**64)).alias("limit"))))
     keys = rows.select("lang", "order").join(limits, F.col("lang") == F.col("of")).where(F.col("order") <= F.col("limit"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 import sys
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -42,12 +44,36 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[list[str]]:
+    """Gathers the paths of the tables that are ``written`` inside, in order."""
+    paths: list[str] = []
+    _SCRATCH.append(paths)
+    try:
+        yield paths
+    finally:
+        _SCRATCH.remove(paths)
+
+
+def dropped(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a compressed Parquet table in the shared folder, for large rows that are read more than once.
 
-    The table lies beside the checkpoints and goes when that folder is cleared.
+    The table lies beside the checkpoints and goes when that folder is cleared, or its path, that ``scratch`` gathers, is ``dropped``.
     """
     path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    for paths in _SCRATCH:
+        paths.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
