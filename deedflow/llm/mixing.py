@@ -9,13 +9,14 @@ each document draws an exponential key, ``-ln(u) / weight`` with ``u`` hashed fr
 sizes stays within the rest of the budget (a document counts from its middle, so the miss is half of one
 document at most).
 
-The running sum never meets in one task for a whole source: the keys are cut into ``SLICES`` ranges of equal
-expected mass, slice totals give the slice where the budget ends, and only inside slices are rows ordered.
-The outcome is one cut per source, so the rows themselves are joined with a table of one row per source and
+The running sum never meets in one task for a whole source: the keys between the least and the greatest are cut into
+``SLICES`` ranges, slice totals give the slice where the budget ends, and that slice is cut again until it holds
+``EDGE`` rows at most; only those are ordered.  Keys that are equal (an identity that is null or comes again) are cut by a hash of
+identity and text.  The outcome is one cut per source, so the rows themselves are joined with a table of one row per source and
 are not moved.
 
-Defined results: a null text has size 0; a null source is a source of its own and comes last; empty sources
-have target 0; documents alike in identity and size share one key and are taken or left together; an empty
+Defined results: a null text has size 0; very long texts count whole; a null source is a source of its own and comes last; empty sources
+have target 0; repeated rows, alike in identity and text, are taken or left together; an empty
 table stays empty; other columns are kept and a column named like a result column is replaced.
 """
 
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from .runtime import WORD, durable, fresh
 
 SLICES = 2048
+EDGE = 1 << 12
 #: Up to so many sources their cuts are sent to every executor; more are joined by a shuffle.
 BROADCAST_SOURCES = 50_000
 CYCLE = (5, 2, 1)
@@ -69,11 +71,6 @@ def source_targets(sizes: DataFrame, source: str, cap: float, cycle: tuple[int,
     return levelled.select(source, "source_size", target.alias("target"))
 
 
-def _slice(key: Column) -> Column:
-    """A monotone map of a key to 0..SLICES-1, about even for keys of weights near one."""
-    return F.least(F.floor((F.lit(1.0) - F.exp(-key)) * SLICES), F.lit(SLICES - 1)).cast("int")
-
-
 def mix_sources(
     df: DataFrame,
     identity: str = "doc_id",
@@ -83,48 +80,82 @@ def mix_sources(
     cap: float = 3.0,
     cycle: tuple[int, ...] = CYCLE,
     seed: int = 11,
+    size: Column | None = None,
+    content: Column | None = None,
+    edge: int = EDGE,
 ) -> DataFrame:
-    """``df`` with ``size``, ``source_size``, ``target``, ``times`` (whole copies to take) and ``taken`` (words)."""
+    """``size`` and ``content`` (what tells rows of one identity apart) spare the texts where they are known.
+
+    Returns ``df`` with ``size``, ``source_size``, ``target``, ``times`` (whole copies to take) and ``taken`` (words)."""
     if cap < 1:
         raise ValueError("a cap below one cannot give out all sizes")
     key, tie, src, src2 = fresh(df, "mix_key", "mix_tie", "mix_source", "mix_source_right")
     name = F.coalesce(F.col(identity).cast("string"), F.lit(""))
     quality = weight if weight is not None else clean_weight(F.col(text), F.col("size"))
-    keyed = df.withColumns({"size": word_count(F.col(text)), src: F.col(source)})
-    keyed = keyed.withColumns({key: -F.log(uniform(name, seed)) / quality, tie: F.md5(name.cast("binary"))})
-    # the narrow rows are used three times, the texts are read for them once
-    cuts = _cuts(durable(keyed.select(F.col(src).alias("s"), F.col(key).alias("k"), F.col(tie).alias("t"), "size")), cap, cycle)
+    keyed = df.withColumns({"size": word_count(F.col(text)) if size is None else size.cast("long"), src: F.col(source)})
+    keyed = keyed.withColumns({key: -F.log(uniform(name, seed)) / quality, tie: F.xxhash64(name, F.xxhash64(text) if content is None else content)})
+    # the narrow rows are used several times, the texts are read for them once
+    cuts = _cuts(durable(keyed.select(F.col(src).alias("s"), F.col(key).alias("k"), F.col(tie).alias("h"), "size")), cap, cycle, edge)
     cuts = durable(cuts.withColumnRenamed("s", src2))
     cuts = F.broadcast(cuts) if cuts.count() <= BROADCAST_SOURCES else cuts
-    here = _slice(F.col(key))
-    within = (F.col(key) < F.col("cut_k")) | ((F.col(key) == F.col("cut_k")) & (F.col(tie) <= F.col("cut_t")))
-    taken_again = F.coalesce(((here < F.col("cut_slice")) | ((here == F.col("cut_slice")) & within)).cast("int"), F.lit(0))
+    one_key = F.col("k_low") == F.col("k_high")
+    before = (F.col(key) < F.col("k_low")) | (one_key & (F.col(key) == F.col("k_low")) & (F.col(tie) < F.col("h_low")))
+    within = (F.col(key) < F.col("cut_k")) | ((F.col(key) == F.col("cut_k")) & (F.col(tie) <= F.col("cut_h")))
+    taken_again = (F.coalesce(before, F.lit(False)) | F.coalesce(within, F.lit(False))).cast("int")
     joined = keyed.drop("source_size", "target", "times", "taken").join(cuts, F.col(src).eqNullSafe(F.col(src2)))
     return (
         joined.withColumn("times", (F.col("epochs") + taken_again).cast("int"))
         .withColumn("taken", F.col("times") * F.col("size"))
-        .drop(key, tie, src, src2, "epochs", "cut_slice", "cut_k", "cut_t")
+        .drop(key, tie, src, src2, "epochs", "k_low", "k_high", "h_low", "cut_k", "cut_h")
     )
 
 
-def _cuts(keyed: DataFrame, cap: float, cycle: tuple[int, ...]) -> DataFrame:
-    """Per source: its size, target, whole epochs, the slice where the fraction ends and the last key (with tie) it takes there."""
-    sliced = keyed.withColumn("slice", _slice(F.col("k")))
-    slices = sliced.groupBy("s", "slice").agg(F.sum("size").alias("slice_size"))
-    sizes = slices.groupBy("s").agg(F.sum("slice_size").alias("source_size"))
-    targets = source_targets(sizes, "s", cap, cycle)
-    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")
-    plan = targets.withColumn("epochs", epochs).withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
+RANGE = ("k_low", "k_high", "h_low", "h_high")
+
+
+def _spread() -> list[Column]:
+    return [F.min("k").alias("k_low"), F.max("k").alias("k_high"), F.min("h").alias("h_low"), F.max("h").alias("h_high"), F.count("*").alias("n")]
+
+
+def _inside(keyed: DataFrame, ranges: DataFrame) -> DataFrame:
+    """The rows in their source's range."""
+    right = ranges.withColumnRenamed("s", "rs")
+    within = F.col("k").between(F.col("k_low"), F.col("k_high")) & F.col("h").between(F.col("h_low"), F.col("h_high"))
+    return keyed.join(F.broadcast(right) if right.count() <= BROADCAST_SOURCES else right, F.col("s").eqNullSafe(F.col("rs")) & within).drop("rs")
+
+
+def _narrowed(keyed: DataFrame, ranges: DataFrame) -> DataFrame:
+    """The ranges cut to the slice where each budget ends."""
+    rows = _inside(keyed, ranges)
+    part = lambda x, low, high: F.least(F.floor((x - low) / (high - low) * SLICES), F.lit(SLICES - 1))
+    hashed = [F.col(c).cast("double") for c in ("h", "h_low", "h_high")]
+    by_hash = F.when(hashed[1] < hashed[2], part(*hashed)).otherwise(0)
+    slice_ = F.when(F.col("k_low") < F.col("k_high"), part(*(F.col(c) for c in ("k", "k_low", "k_high")))).otherwise(by_hash).cast("int")
+    # SLICES rows for a source at most
+    slices = rows.groupBy("s", "start", "rest", slice_.alias("slice")).agg(F.sum("size").alias("slice_size"), *_spread())
     before = Window.partitionBy("s").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = slices.withColumn("start", F.coalesce(F.sum("slice_size").over(before), F.lit(0)))
+    starts = slices.withColumn("start", F.col("start") + F.coalesce(F.sum("slice_size").over(before), F.lit(0)))
+    last = starts.where("start <= rest").groupBy("s").agg(F.max(F.struct("slice", "start", "rest", *RANGE, "n")).alias("x"))
+    return durable(last.select("s", "x.start", "x.rest", *(f"x.{c}" for c in (*RANGE, "n"))))
+
+
+def _cuts(keyed: DataFrame, cap: float, cycle: tuple[int, ...], edge: int) -> DataFrame:
+    """Per source: its size, target, whole epochs, the range of keys where the fraction ends and the last key (with tie) it takes there."""
+    sizes = keyed.groupBy("s").agg(F.sum("size").alias("source_size"), *_spread())
+    targets = source_targets(sizes.select("s", "source_size"), "s", cap, cycle)
+    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")
+    plan = durable(targets.withColumn("epochs", epochs).withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")))
     rests = plan.select(F.col("s").alias("ps"), "rest")
-    reached = starts.join(rests, F.col("s").eqNullSafe(F.col("ps"))).where("start <= rest")
-    last = reached.groupBy("s").agg(F.max(F.struct("slice", "start", "rest")).alias("x")).select(F.col("s").alias("ls"), F.col("x.slice").alias("last"), "x.start", "x.rest")
-    edge = sliced.join(last, F.col("s").eqNullSafe(F.col("ls")) & (F.col("slice") == F.col("last")))
-    edge = edge.groupBy("s", "start", "rest", "k", "t").agg(F.sum("size").alias("size"))
-    running = Window.partitionBy("s").orderBy("k", "t").rowsBetween(Window.unboundedPreceding, -1)
-    edge = edge.withColumn("prior", F.col("start") + F.coalesce(F.sum("size").over(running), F.lit(0)))
-    # running middles grow with the key, so what fits is a prefix of the slice
-    found = edge.where((F.col("prior") + F.col("size") / 2) <= F.col("rest")).groupBy("s").agg(F.max(F.struct("k", "t")).alias("cut"))
-    ends = last.select("ls", "last").join(found, F.col("ls").eqNullSafe(F.col("s")), "left").select("ls", F.col("last").alias("cut_slice"), F.col("cut.k").alias("cut_k"), F.col("cut.t").alias("cut_t"))
-    return plan.join(ends, F.col("s").eqNullSafe(F.col("ls")), "left").select("s", "source_size", "target", "epochs", "cut_slice", "cut_k", "cut_t")
+    ranges = sizes.join(rests, F.col("s").eqNullSafe(F.col("ps"))).select("s", F.lit(0).cast("long").alias("start"), "rest", *RANGE, "n")
+    ranges = durable(ranges)
+    wide = (F.col("n") > edge) & ((F.col("k_low") < F.col("k_high")) | (F.col("h_low").cast("double") < F.col("h_high").cast("double")))
+    while not ranges.where(wide).isEmpty():
+        ranges = _narrowed(keyed, ranges)
+    rows = _inside(keyed, ranges).groupBy("s", "start", "rest", "k", "h").agg(F.sum("size").alias("size"))
+    running = Window.partitionBy("s").orderBy("k", "h").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("prior", F.col("start") + F.coalesce(F.sum("size").over(running), F.lit(0)))
+    # running middles grow with the key, so what fits is a prefix of the range
+    found = rows.where((F.col("prior") + F.col("size") / 2) <= F.col("rest")).groupBy("s").agg(F.max(F.struct("k", "h")).alias("cut"))
+    found = found.select(F.col("s").alias("fs"), F.col("cut.k").alias("cut_k"), F.col("cut.h").alias("cut_h"))
+    ends = ranges.select(F.col("s").alias("es"), "k_low", "k_high", "h_low").join(found, F.col("es").eqNullSafe(F.col("fs")), "left").drop("fs")
+    return plan.join(ends, F.col("s").eqNullSafe(F.col("es")), "left").select("s", "source_size", "target", "epochs", "k_low", "k_high", "h_low", "cut_k", "cut_h")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import collision_ann, feistel, html_main, language_id, lm_score, mixing, quality_gbt, simhash, templates, url_rules
-from .runtime import crc32_mod, table
+from .runtime import crc32_mod, table, written
 
 #: The rules of op2, as (action, host and path).
 URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
@@ -77,8 +77,11 @@ def op8_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+    words = mixing.word_count(F.col("text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", words.alias("words"), mixing.clean_weight(F.col("text"), words).alias("weight"), F.xxhash64("text").alias("content"))
+    # the texts are read for the narrow rows once
+    mixed = mixing.mix_sources(written(docs), size=F.col("words"), weight=F.col("weight"), content=F.col("content"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op10_ppm_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
