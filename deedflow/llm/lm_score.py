@@ -7,7 +7,8 @@ of an Arrow batch), the counts of its byte windows, its words with their trainin
   more are whole in one bucket; those of order 1 and 0 have 2**16 windows at most and are sent to all.  Each
   bucket becomes one frozen trie with escapes and symbol exclusion (``trie``) and answers the distinct windows
   that the blocks ask for.  The order is ``ORDER`` at every size and no window is held outside its bucket;
-* words are summed by a shuffle and their counts go back to the blocks that asked for them, so no vocabulary
+* words are dealt into buckets by a hash, in the same way: what batches have learned is summed in a bucket, which answers
+  the words that blocks ask for, packed, so a word that every block has is one of many in a row, and no vocabulary
   is ever held in one place;
 * each block adds up the exact code lengths and the baseline of its texts from the answers.
 
@@ -15,7 +16,8 @@ Baseline: log10((c + 1) / (N + V + 1)) summed over the words and one end of the
 the word in training, N all training tokens and V the distinct ones, ends included.
 
 Defined results: a null text is an empty one and has one token, its end; without training rows every
-symbol costs its share of the alphabet; repeated rows get equal scores; an empty table stays empty.
+symbol costs its share of the alphabet; very long texts count whole; repeated rows get equal scores (there are no ties);
+other columns are not returned, whatever their names; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -25,9 +27,10 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import trie
@@ -37,6 +40,8 @@ BLOCK_BYTES = 8 << 20
 ORDER = 5
 #: Parts that the pairs of bytes before a symbol are dealt into; the most frequent pair sets the size of the largest one.
 BUCKETS = 256
+#: Parts that words are dealt into.
+WORD_BUCKETS = 1024
 #: So many windows are answered at once.
 ANSWERS = 1 << 17
 WINDOWS = 3_000_000
@@ -121,9 +126,42 @@ def dealt(keys: np.ndarray, counts: np.ndarray | None) -> Iterator[dict]:
             yield {"bucket": b, "n": j - i, "data": packed_keys(keys[i:j])} | ({} if counts is None else {"more": packed(counts[by[i:j]])})
 
 
+def packed_long(counts: np.ndarray) -> bytes:
+    """Counts as compressed planes of 16 bits."""
+    return pa.compress(np.ascontiguousarray(counts.astype("<i8").view(np.uint16).reshape(-1, 4).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked_long(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, decompressed_size=8 * n, codec="zstd", asbytes=True), np.uint16)
+    return np.ascontiguousarray(planes.reshape(4, n).T).view("<i8").reshape(-1).astype(np.int64)
+
+
+def word_buckets(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The words' places by bucket, and where each bucket ends."""
+    hashed = pd.util.hash_array(words.to_numpy(zero_copy_only=False), categorize=False) if len(words) else np.zeros(0, np.uint64)
+    bucket = (hashed % np.uint64(WORD_BUCKETS)).astype(np.int64)
+    return np.argsort(bucket, kind="stable"), np.cumsum(np.bincount(bucket, minlength=WORD_BUCKETS))
+
+
+def dealt_words(words: pa.Array, counts: np.ndarray | None) -> Iterator[dict]:
+    """A row for each bucket that has some of the words; a word holds no line feed."""
+    order, ends = word_buckets(words)
+    starts = np.append(0, ends[:-1])
+    lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), words.take(pa.array(order)))
+    for b, (i, j, line) in enumerate(zip(starts.tolist(), ends.tolist(), pc.binary_join(lists, "\n"))):
+        if i < j:
+            text = line.as_buffer()
+            yield {"bucket": b, "n": j - i, "size": text.size, "data": pa.compress(text, codec="zstd", asbytes=True)} | ({} if counts is None else {"more": packed_long(counts[order[i:j]])})
+
+
+def unpacked_words(data: list[bytes], sizes: list[int]) -> pa.Array:
+    lines = pa.array([pa.decompress(d, decompressed_size=n, codec="zstd", asbytes=True) for d, n in zip(data, sizes)], pa.binary()).cast(pa.string())
+    return pc.split_pattern(lines, "\n").flatten().cast(pa.large_string())
+
+
 ROW = (
-    "kind int, block long, ids array<{id}>, held array<boolean>, raw binary, size long, at int, words array<string>, counts array<long>, keys array<long>, "
-    "bucket int, n int, data binary, more binary"
+    "kind int, block long, ids array<{id}>, held array<boolean>, raw binary, size long, counts array<long>, keys array<long>, "
+    "bucket int, n int, data binary, more binary, tokens long"
 )
 #: Lists are sent in rows of so many items, which keeps rows small where they are taken apart.
 ITEMS = 1 << 14
@@ -143,13 +181,17 @@ def _gather(schema: pa.Schema):
                 block = uuid.uuid4().int >> 65
                 words, counts, _, codes = coded(texts, learn)
                 del codes
-                for i in range(0, len(words), ITEMS):
-                    yield rows({"kind": 1, "block": block, "at": i, "words": words.slice(i, ITEMS), "counts": counts[i : i + ITEMS]})
-                del words, counts
+                tokens = int(counts.sum())
+                some = [{"kind": 6, "block": block} | r for r in dealt_words(words, None)]
+                learned = np.nonzero(counts)[0]
+                some += [{"kind": 5} | r for r in dealt_words(words.take(pa.array(learned)), counts[learned])]
+                for i in range(0, len(some), 128):
+                    yield rows(*some[i : i + 128])
+                del words, counts, some
                 bare = texts.cast(pa.binary())
                 del texts
                 whole = trie.joined(bare.to_pylist(), ORDER)[0]
-                yield rows({"kind": 0, "block": block, "ids": ids.to_pylist(), "held": ~learn, "raw": pa.compress(whole, codec="zstd", asbytes=True), "size": len(whole)})
+                yield rows({"kind": 0, "block": block, "ids": ids.to_pylist(), "held": ~learn, "raw": pa.compress(whole, codec="zstd", asbytes=True), "size": len(whole), "tokens": tokens})
                 known = trie.grams(trie.joined(bare.filter(pa.array(learn)).to_pylist(), ORDER)[0], ORDER)
                 for found, kept in zip(known, windows):
                     kept.append(found)
@@ -219,24 +261,96 @@ def _answered(low, schema: pa.Schema):
     return run
 
 
+class Vocabulary:
+    """The words that one bucket has learned, with their counts."""
+
+    def __init__(self) -> None:
+        self.words, self.counts = pa.array([], pa.large_string()), np.zeros(0, np.int64)
+        self.waiting: list[tuple] = []
+        self.open, self.told = 0, False
+
+    def learn(self, n: int, size: int, data: bytes, more: bytes) -> None:
+        self.waiting.append((n, size, data, more))
+        self.open += n
+        if self.open > max(ANSWERS, len(self.words)):  # what is held stays near the distinct words
+            self.settle()
+
+    def settle(self) -> None:
+        if self.waiting:
+            n, sizes, data, more = zip(*self.waiting)
+            coded_ = pa.concat_arrays([self.words, unpacked_words(data, sizes)]).dictionary_encode()
+            counts = np.concatenate([self.counts, *map(unpacked_long, more, n)])
+            self.words, self.counts = coded_.dictionary, np.zeros(len(coded_.dictionary), np.int64)
+            np.add.at(self.counts, coded_.indices.to_numpy(), counts)
+            self.waiting, self.open = [], 0
+
+    def fresh(self) -> int:
+        """How many words were learned, told once."""
+        told, self.told = self.told, True
+        return 0 if told else len(self.words)
+
+    def answer(self, words: pa.Array) -> np.ndarray:
+        place = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy(zero_copy_only=False)
+        return np.append(self.counts, 0)[place]
+
+
+def _counted(schema: pa.Schema):
+    """Rows of a bucket of words, what was learned first (kind 5), to counts for the words that blocks ask for (kind 6)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, vocabulary, asked, open_ = None, Vocabulary(), [], 0
+
+        def answers() -> pa.RecordBatch:
+            vocabulary.settle()
+            blocks_, ns, sizes, data = zip(*asked)
+            counts = vocabulary.answer(unpacked_words(data, sizes))
+            parts = [packed_long(counts[j - n : j]) for n, j in zip(ns, np.cumsum(ns).tolist())]
+            fresh = [vocabulary.fresh()] + [0] * (len(asked) - 1)
+            asked.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((blocks_, [at] * len(ns), ns, parts, fresh), schema)], schema=schema)
+
+        for batch in batches:
+            for bucket, kind, block, n, size, data, more in zip(*(batch.column(j).to_pylist() for j in range(7))):
+                if bucket != at:
+                    if asked:
+                        yield answers()
+                    at, vocabulary, open_ = bucket, Vocabulary(), 0
+                if kind == 5:
+                    vocabulary.learn(n, size, data, more)
+                    continue
+                asked.append((block, n, size, data))
+                open_ += n
+                if open_ > ANSWERS:
+                    yield answers()
+                    open_ = 0
+        if asked:
+            yield answers()
+        trim()
+
+    return run
+
+
 def _scored(schema: pa.Schema):
     """Blocks with their answers to code lengths and sums of log10(c + 1), without the denominator that is the same for all tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                ids, held, raw, length, local, count, new, replies = (batch.column(j).slice(i, 1) for j in range(8))
+                ids, held, raw, length, counts, new, replies = (batch.column(j).slice(i, 1) for j in range(7))
                 whole = np.frombuffer(pa.decompress(raw[0].as_buffer(), decompressed_size=length[0].as_py(), codec="zstd", asbytes=True), np.uint8)
                 ends = np.nonzero(whole == trie.EOS)[0]
                 starts = np.concatenate(([0], ends[:-1] + 1)).astype(np.int64)
                 offsets = np.concatenate(([0], np.cumsum(ends - starts - ORDER))).astype(np.int32)
                 body = whole[(whole != trie.BOS) & (whole != trie.EOS)]
                 texts = pa.StringArray.from_buffers(len(ends), pa.py_buffer(offsets), pa.py_buffer(body))
-                _, _, size, codes = coded(texts, np.zeros(len(ends), bool))
+                words, _, size, codes = coded(texts, np.zeros(len(ends), bool))
                 del texts, body
-                at = local.flatten().to_numpy(zero_copy_only=False)
-                c = np.zeros(len(at), np.int64)
-                c[at] = count.flatten().to_numpy(zero_copy_only=False)
+                order, last = word_buckets(words)
+                c = np.zeros(len(words), np.int64)
+                for part in counts.flatten().to_pylist():
+                    to = int(last[part["bucket"]])
+                    c[order[to - part["n"] : to]] = unpacked_long(part["counts"], part["n"])
+                del words, order
                 logs = np.log10(c + 1.0)
                 row = np.repeat(np.arange(len(size), dtype=np.int32), size)
                 base = np.bincount(row, weights=logs[codes], minlength=len(size)) + logs[0]
@@ -287,14 +401,9 @@ def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
     kind = rows.schema["doc_id"].dataType.simpleString()
     shape = ROW.format(id=kind)
     gathered = written(rows.mapInArrow(_gather(_arrow(rows, shape)), shape))
-    asked = gathered.where("kind = 1").select("block", "at", F.posexplode(F.arrays_zip("words", "counts")).alias("i", "w"))
-    asked = asked.select("block", (F.col("at") + F.col("i")).alias("local"), F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-    # a word is in a block once, so a word has as many rows as blocks at most; it is new where its block comes first
-    same = Window.partitionBy("word")
-    counted = asked.select("block", "local", F.sum("n").over(same).alias("c"), (F.col("block") == F.min("block").over(same)).alias("first"))
-    answers = counted.groupBy("block").agg(
-        F.collect_list("local").alias("locals"), F.collect_list("c").alias("counts"), F.count_if(F.col("first") & (F.col("c") > 0)).alias("new")
-    )
+    words = gathered.where("kind in (5, 6)").select("bucket", "kind", "block", "n", "size", "data", "more").repartition("bucket").sortWithinPartitions("bucket", "kind")
+    part = "block long, bucket int, n int, counts binary, new long"
+    answers = words.mapInArrow(_counted(_arrow(rows, part)), part).groupBy("block").agg(F.collect_list(F.struct("bucket", "n", "counts")).alias("counts"), F.sum("new").alias("new"))
     grams = gathered.where("kind = 4").select(F.explode(F.arrays_zip("keys", "counts")).alias("g")).groupBy(F.col("g.keys").alias("gram")).agg(F.sum("g.counts").alias("n"))
     found = grams.toArrow()  # of order 1, so 2**16 at most
     low = docs.sparkSession.sparkContext.broadcast((found["gram"].to_numpy().astype(np.uint64), found["n"].to_numpy().astype(np.int64)))
@@ -302,11 +411,11 @@ def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
     reply = "block long, n int, data binary, answer binary"
     replies = windows.mapInArrow(_answered(low, _arrow(rows, reply)), reply).groupBy("block").agg(F.collect_list(F.struct("n", "data", "answer")).alias("replies"))
     texts = gathered.where("kind = 0").select("block", "ids", "held", "raw", "size")
-    joined = texts.join(answers, "block").join(replies, "block").select("ids", "held", "raw", "size", "locals", "counts", "new", "replies")
+    joined = texts.join(answers, "block").join(replies, "block").select("ids", "held", "raw", "size", "counts", "new", "replies")
     out = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, logs double, score double, new long"
     sums = durable(joined.mapInArrow(_scored(_arrow(rows, out)), out))
     distinct = sums.agg(F.coalesce(F.sum("new"), F.lit(0))).first()[0]
-    tokens = gathered.where("kind = 1").agg(F.coalesce(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda x, y: x + y)), F.lit(0))).first()[0]
+    tokens = gathered.where("kind = 0").agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
     base = F.col("logs") - F.col("n_tokens") * F.lit(math.log10(tokens + distinct + 1))
     return sums.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
 
