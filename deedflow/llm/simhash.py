@@ -7,13 +7,15 @@ if more than half of the shingles' XXH64 hashes (seed 42) have it.
 Comparison: distinct fingerprints (copies count once) are put into blocks by bit bands that agree: of
 ``bands`` bands, two that differ in ``radius`` bits at most agree on ``bands - radius``, so with a block for
 every choice of so many bands no link is lost.  Few fingerprints need ``radius + 1`` bands; very many get more,
-whose longer keys keep blocks small.  A block is cut into
-tiles of about ``TILE`` fingerprints of one population count; pairs of tiles whose population counts differ
-by more than the radius are skipped, all others are compared exactly with numpy exclusive-or and bit counts.
+whose longer keys keep blocks small.  Every block is ordered by population count and cut into
+tiles of about ``TILE`` fingerprints; pairs of tiles whose population counts differ
+by more than the radius are skipped, all others are compared exactly with numpy exclusive-or and bit counts, in strips of
+``STRIP`` rows that again skip what their population counts tell apart.
 Large blocks thus become many independent tile pairs, and no task holds more than two tiles.  A tile pair
 reports a spanning forest of its links instead of all of them, and components join the forests.
 
-Defined results: null and empty texts have fingerprint zero and are linked like any other; a null doc_id is
+Defined results: null and empty texts have fingerprint zero and are linked like any other; long texts are hashed whole, in pieces; ties
+(equal fingerprints, equal distances) need no order, as all links count; a null doc_id is
 never a component's name unless the whole component has none; repeated rows get equal results; an empty table
 stays empty; only the result columns are returned.
 """
@@ -33,6 +35,7 @@ from .components import connected
 from .runtime import durable, fresh, ship, trim
 
 TILE = 4096
+STRIP = 128
 WIDTH = 3
 RADIUS = 3
 SEED = 42
@@ -78,18 +81,27 @@ def fingerprints(docs: DataFrame, text: str, name: str, width: int = WIDTH) -> D
     return docs.select(*rest, text).mapInArrow(run, schema)
 
 
+def strips(a: np.ndarray, b: np.ndarray, radius: int) -> Iterator[tuple[int, int, int, int]]:
+    """Row ranges of ``a`` and ``b``, both ordered by population count, that may hold links."""
+    ones_a, ones_b = np.bitwise_count(a).astype(np.int64), np.bitwise_count(b).astype(np.int64)
+    for i in range(0, len(a), STRIP):
+        j = min(i + STRIP, len(a))
+        x, y = np.searchsorted(ones_b, ones_a[i] - radius), np.searchsorted(ones_b, ones_a[j - 1] + radius, side="right")
+        if x < y:
+            yield i, j, int(x), int(y)
+
+
 def forest(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the links between ``a`` and ``b`` (or within ``a``, if they are the same)."""
-    if len(a) * len(b) <= 1 << 14 and (np.bitwise_count(a[:, None] ^ b[None, :]) <= radius).sum() == (len(a) if a is b else 0):
-        return a[:0], a[:0]
+    same = a is b
+    a = a[np.argsort(np.bitwise_count(a), kind="stable")]
+    b = a if same else b[np.argsort(np.bitwise_count(b), kind="stable")]
     nodes = np.unique(np.concatenate([a, b]))
     at_a, at_b = np.searchsorted(nodes, a), np.searchsorted(nodes, b)
     label = np.arange(len(nodes))
-    step = max(1, (1 << 20) // max(1, len(b)))
-    for i in range(0, len(a), step):
-        near = np.bitwise_count(a[i : i + step, None] ^ b[None, :]) <= radius
-        x, y = np.nonzero(near)
-        u, v = at_a[i + x], at_b[y]
+    for i, j, x, y in strips(a, b, radius):
+        row, column = np.nonzero(np.bitwise_count(a[i:j, None] ^ b[None, x:y]) <= radius)
+        u, v = at_a[i + row], at_b[x + column]
         while True:
             lu, lv = label[u], label[v]
             apart = lu != lv
@@ -135,37 +147,49 @@ def links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE, bands: int
     # two within the radius agree on all bands but ``radius`` at least, so on all of one of these choices
     keys = [F.xxhash64(F.lit(n), *(part[i] for i in some)) for n, some in enumerate(combinations(range(bands), bands - radius))]
     blocks = prints.select("fp", F.bit_count("fp").alias("ones"), F.explode(F.array(*keys)).alias("block"))
-    # at most 65 rows for each block
-    counts = blocks.groupBy("block", "ones").agg(F.count("*").alias("n"))
-    counts = counts.withColumn("all", F.sum("n").over(Window.partitionBy("block"))).where("all > 1")
-    whole = F.col("all") <= tile
-    dealt = blocks.join(counts.select("block", "ones", "n", "all"), ["block", "ones"])
-    dealt = dealt.withColumn("level", F.when(whole, -1).otherwise(F.col("ones")))
-    dealt = dealt.withColumn("part", F.when(whole, 0).otherwise(F.pmod(F.xxhash64("fp", F.lit(1)), F.ceil(F.col("n") / tile))))
-    tiles = dealt.groupBy("block", "level", "part").agg(F.collect_list("fp").alias("fps"), F.max("all").alias("all"))
-    tiles = durable(tiles)
+    tiles = durable(tiles_of(blocks, tile))
     alone = tiles.select(F.col("fps").alias("a"), F.lit(None).cast("array<long>").alias("b"))
-    large = tiles.where("level >= 0").select("block", "level", "part")
-    other = large.select(F.col("block").alias("block2"), F.col("level").alias("level2"), F.col("part").alias("part2"))
-    pairs = large.join(
-        other,
-        (F.col("block") == F.col("block2"))
-        & (F.abs(F.col("level") - F.col("level2")) <= radius)
-        & (F.struct("level", "part") < F.struct(F.col("level2").alias("level"), F.col("part2").alias("part"))),
-    )
-    left = tiles.where("level >= 0").select("block", "level", "part", F.col("fps").alias("a"))
-    right = tiles.where("level >= 0").select(F.col("block").alias("block2"), F.col("level").alias("level2"), F.col("part").alias("part2"), F.col("fps").alias("b"))
-    apart = pairs.join(left, ["block", "level", "part"]).join(right, ["block2", "level2", "part2"]).select("a", "b")
+    # a block of one tile has no pairs
+    pairs = tile_pairs(tiles.where(F.col("all") > tile), radius)
+    left = tiles.select("block", "tile", F.col("fps").alias("a"))
+    right = tiles.select("block", F.col("tile").alias("tile2"), F.col("fps").alias("b"))
+    apart = pairs.join(left, ["block", "tile"]).join(right, ["block", "tile2"]).select("a", "b")
     work = alone.union(apart).hint("rebalance")
     return work.mapInPandas(_compare(radius), "u long, v long").distinct()
 
 
+def tiles_of(blocks: DataFrame, tile: int) -> DataFrame:
+    """Blocks (``fp``, ``ones``, ``block``) of two fingerprints or more cut by population count: ``block``, ``tile``, ``low``, ``high``, ``fps``.
+
+    Small counts that follow each other share a tile; a count of more than a tile has several of its own.
+    """
+    # at most 65 rows for each block
+    counts = blocks.groupBy("block", "ones").agg(F.count("*").alias("n"))
+    every = Window.partitionBy("block")
+    before = every.orderBy("ones").rowsBetween(Window.unboundedPreceding, -1)
+    large = F.col("n") > tile
+    counts = counts.withColumn("all", F.sum("n").over(every)).where("all > 1")
+    counts = counts.withColumn("run", F.floor(F.coalesce(F.sum(F.when(~large, F.col("n"))).over(before), F.lit(0)) / tile))
+    counts = counts.select("block", "ones", "all", "run", F.when(large, F.col("ones")).otherwise(-1).alias("level"), F.ceil(F.col("n") / tile).alias("parts"))
+    part = F.when(F.col("level") < 0, 0).otherwise(F.pmod(F.xxhash64("fp", F.lit(1)), F.col("parts")))
+    dealt = blocks.join(counts, ["block", "ones"]).withColumn("tile", F.struct("run", "level", part.alias("part")))
+    return dealt.groupBy("block", "tile").agg(F.min("ones").alias("low"), F.max("ones").alias("high"), F.first("all").alias("all"), F.collect_list("fp").alias("fps"))
+
+
+def tile_pairs(tiles: DataFrame, radius: int) -> DataFrame:
+    """Pairs of tiles of a block whose population counts lie within the radius: ``block``, ``tile``, ``tile2``."""
+    one = tiles.select("block", "tile", "low", "high")
+    other = tiles.select(F.col("block").alias("block2"), F.col("tile").alias("tile2"), F.col("low").alias("low2"), F.col("high").alias("high2"))
+    near = (F.col("low2") - F.col("high") <= radius) & (F.col("low") - F.col("high2") <= radius)
+    return one.join(other, (F.col("block") == F.col("block2")) & (F.col("tile") < F.col("tile2")) & near).select("block", "tile", "tile2")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, radius: int = RADIUS, tile: int = TILE, extra: list[str] | None = None) -> DataFrame:
     """(doc_id, extra columns, ``fp``, ``root``, ``component_id``): component_id is the least doc_id reachable, root tells components apart."""
     (fp,) = fresh(docs, "fp")
     prints = durable(fingerprints(docs.select(doc_id, *(extra or []), text), text, fp, width))
     named = prints.groupBy(F.col(fp).alias("fp")).agg(F.min(doc_id).alias("least"))
-    roots = connected(links(named.select("fp"), radius, tile))
+    roots = connected(durable(links(named.select("fp"), radius, tile)))
     grouped = named.join(roots, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
     names = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     by_print = grouped.select("fp", F.col("root").alias("r")).join(names, F.col("r") == F.col("root")).select("fp", "root", "component_id")
