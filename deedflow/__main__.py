@@ -12,7 +12,7 @@ from .functions import parsing
 from .operators import model
 from .plans import reports, stages
 from .sources import configs, tables
-from .sources.register import RegisterConfig
+from .sources.register import RegisterConfig, file_sha256
 
 
 def parser() -> argparse.ArgumentParser:
@@ -26,6 +26,8 @@ def parser() -> argparse.ArgumentParser:
     build.add_argument("--overrides")
     build.add_argument("--rules")
     build.add_argument("--expected-content")
+    build.add_argument("--expected-sha256", help="of the source file")
+    build.add_argument("--sample-rows", type=int, default=5, help="of each reason in the report")
     for name in ("validate", "train"):
         some = commands.add_parser(name)
         some.add_argument("--dataset", required=True)
@@ -39,10 +41,12 @@ def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName("deedflow").getOrCreate()
     if args.command == "build":
+        if args.expected_sha256 and (found := file_sha256(spark, args.source)) != args.expected_sha256.lower():
+            raise SystemExit(f"the source file's SHA-256 is {found}")
         out = stages.build(spark, RegisterConfig(args.source, args.snapshot), args.out, args.aliases, args.overrides, args.rules)
         tables.check_content(out, args.expected_content)
         audits = stages.geography_audits(out) | stages.cleaning_audits(out, configs.read_rules(spark, args.rules or configs.RULES_FILE))
-        reports.export(audits, f"{args.out}/audits")
+        reports.write_all(spark, args.out, out, audits, args.sample_rows)
         return
     rows = tables.load_training_csv(spark, args.dataset)
     if args.command == "validate":

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,8 +51,7 @@ def _varies(name: str) -> Column:
 def with_group(df: DataFrame, keys: Sequence[str], prefix: str, **aggregates: Column) -> DataFrame:
     """Join aggregates of each key's rows back; nulls are equal to each other.
 
-    Only keys of several rows (that vary, if that is asked) are joined: a small side that is hashed, so that the
-    records need not be sorted.
+    Only keys of several rows (that vary, if that is asked) are joined; how is left to the sizes that the adaptive plan measures.
     """
     groups = df.groupBy(*keys).agg(F.count("*").alias(f"{prefix}_size"), *(a.alias(f"{prefix}_{n}") for n, a in aggregates.items()))
     groups = groups.where(F.col(f"{prefix}_size") > 1)
@@ -61,12 +62,28 @@ def with_group(df: DataFrame, keys: Sequence[str], prefix: str, **aggregates: Co
     for i, k in enumerate(keys):
         same = F.col(k).eqNullSafe(F.col(f"{prefix}_key{i}"))
         condition = same if condition is None else condition & same
-    return df.join(right.hint("shuffle_hash"), condition, "left").drop(*(f"{prefix}_key{i}" for i in range(len(keys))))
+    return df.join(right, condition, "left").drop(*(f"{prefix}_key{i}" for i in range(len(keys))))
 
 
 def assess_duplicates(df: DataFrame, keys: DuplicateKeys | None = None) -> DataFrame:
+    """``df`` with the duplicate fields.
+
+    Records with many other columns are moved once: the tiers are worked out on the columns that they need and joined back by
+    record, of which repeated ones are alike.
+    """
     keys = keys or DuplicateKeys()
     require(df, keys.all(), "duplicate assessment")
+    if len(df.columns) <= len(keys.all()) + 2:
+        return _assessed(df, keys)
+    record = [keys.record_id, keys.row_number, keys.fingerprint]
+    names = [f"__record{i}" for i in range(len(record))]
+    found = _assessed(df.select(*sorted(keys.all())), keys).dropDuplicates(record)
+    found = found.select(*(F.col(c).alias(n) for c, n in zip(record, names)), *DUPLICATE_FIELDS)
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(n)) for c, n in zip(record, names)))
+    return df.join(found, same).drop(*names)
+
+
+def _assessed(df: DataFrame, keys: DuplicateKeys) -> DataFrame:
     order = F.struct(F.col(keys.row_number), F.col(keys.record_id))
     out = with_group(df, [keys.fingerprint], "__fp", first=F.min_by(keys.record_id, order))
     out = with_group(out, keys.publication, "__pub", varied=_varies(keys.fingerprint))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..errors import ModelError
 from ..functions import parsing as P
 from .model import SUPPORT, GroupedMedians, filter_training_rows, temporal_split
+from .quantiles import IN_MEMORY, exact_quantiles
 
 
 def mae(actual: Column, predicted: Column) -> Column:
@@ -32,14 +33,25 @@ def residual_interval(log_predicted: Column, quantile: Column) -> dict[str, Colu
     return {"lower": F.exp(log_predicted - quantile), "upper": F.exp(log_predicted + quantile)}
 
 
-def metrics(df: DataFrame, actual: str = "price", predicted: str = "predicted_price", log_actual: str = "log_price", log_predicted: str = "predicted_log_price") -> DataFrame:
+def metrics(
+    df: DataFrame, actual: str = "price", predicted: str = "predicted_price", log_actual: str = "log_price", log_predicted: str = "predicted_log_price",
+    by: Sequence[str] = (), rows: int | None = None, in_memory: int = IN_MEMORY,
+) -> DataFrame:
+    """Rows and errors, of each group if there are keys; ``rows`` of more than ``in_memory`` get their median by ranges."""
     a, p = F.col(actual), F.col(predicted)
-    return df.agg(F.count("*").alias("rows"), mae(a, p).alias("mae"), mdape(a, p).alias("mdape"), log_mae(F.col(log_actual), F.col(log_predicted)).alias("log_mae"))
+    found = [F.count("*").alias("rows"), mae(a, p).alias("mae"), mdape(a, p).alias("mdape"), log_mae(F.col(log_actual), F.col(log_predicted)).alias("log_mae")]
+    if rows is None or rows <= in_memory:
+        return df.groupBy(*by).agg(*found)
+    errors = df.select(*by, F.when(a > 0, F.abs(a - p) / a).alias("error"))
+    medians = exact_quantiles(errors, by, "error", {"mdape": 0.5}, rows=rows, in_memory=in_memory)
+    summed = df.groupBy(*by).agg(*(c for i, c in enumerate(found) if i != 2))
+    joined = summed.join(medians, list(by)) if by else summed.crossJoin(medians)  # one row each
+    return joined.select(*by, "rows", "mae", "mdape", "log_mae")
 
 
 def checked_metrics(df: DataFrame, **names: str) -> dict[str, float]:
     """The metrics as numbers; no rows or no actual above zero is an error."""
-    row = metrics(df, **names).first()
+    row = metrics(df, rows=df.count(), **names).first()
     if not row["rows"] or row["mdape"] is None:
         raise ModelError("there is nothing to measure")
     return row.asDict()
@@ -58,7 +70,7 @@ def segment_metrics(df: DataFrame, by: Sequence[str], actual: str = "price", pre
 def residual_quantiles(df: DataFrame, level: float = 0.8, log_actual: str = "log_price", log_predicted: str = "predicted_log_price") -> DataFrame:
     """One row: the exact quantiles of log residuals that hold the central ``level``."""
     residual = F.col(log_actual) - F.col(log_predicted)
-    return df.agg(F.percentile(residual, (1 - level) / 2).alias("low"), F.percentile(residual, (1 + level) / 2).alias("high"))
+    return exact_quantiles(df.select(residual.alias("residual")), [], "residual", {"low": (1 - level) / 2, "high": (1 + level) / 2})
 
 
 def with_interval(df: DataFrame, low: float, high: float, log_predicted: str = "predicted_log_price") -> DataFrame:

@@ -6,6 +6,7 @@ never fail: the global median answers where no group has enough support.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from ..errors import ModelError, require
 from ..functions import parsing as P
 from ..functions import text as T
+from .quantiles import IN_MEMORY, exact_quantiles
 
 LEVELS = ("area_property_type", "area", "property_type", "global")
 SUPPORT = 3
@@ -45,11 +47,29 @@ def temporal_split(df: DataFrame, day: str, holdout_months: int) -> tuple[DataFr
     months = latest.year * 12 + latest.month - 1 - holdout_months
     cutoff = latest.replace(year=months // 12, month=months % 12 + 1, day=min(latest.day, 28))
     train, validation = df.where(F.col(day) < F.lit(cutoff)), df.where(F.col(day) >= F.lit(cutoff))
-    if train.isEmpty() or validation.isEmpty():
+    before = df.agg(F.count_if(F.col(day) < F.lit(cutoff))).first()[0]
+    if not 0 < before < rows:
         raise ModelError(f"one side of the split at {cutoff} is empty")
     return train, validation, cutoff
 
 
+def _groups(keyed: DataFrame, rows: int, in_memory: int = IN_MEMORY) -> DataFrame:
+    """(level, area, kind, median, support) of ``area``, ``kind``, ``target``."""
+    if rows <= in_memory:
+        sets = keyed.groupingSets([["area", "kind"], ["area"], ["kind"], []], "area", "kind")
+        # grouping bits 00, 01, 10, 11 are the levels in order
+        level = F.element_at(F.array(*map(F.lit, LEVELS)), (F.grouping("area") * 2 + F.grouping("kind") + 1).cast("int"))
+        return sets.agg(level.alias("level"), F.median("target").alias("median"), F.count("*").alias("support"))
+    none = F.lit(None).cast("string")
+    sides = (("area", "kind"), ("area", none), (none, "kind"), (none, none))
+    each = F.array(*(F.struct(F.lit(n).alias("level"), (F.col(a) if isinstance(a, str) else a).alias("area"), (F.col(k) if isinstance(k, str) else k).alias("kind")) for n, (a, k) in zip(LEVELS, sides)))
+    levelled = keyed.select("target", F.inline(each))
+    keys = ["level", "area", "kind"]
+    medians = exact_quantiles(levelled, keys, "target", {"median": 0.5}, rows=rows, in_memory=in_memory)
+    support = keyed.groupingSets([["area", "kind"], ["area"], ["kind"], []], "area", "kind").agg(F.count("*").alias("support")).select(F.col("area").alias("a"), F.col("kind").alias("k"), "support")
+    return medians.join(support, F.col("area").eqNullSafe(F.col("a")) & F.col("kind").eqNullSafe(F.col("k"))).select(*keys, "median", "support")
+
+
 @dataclass
 class GroupedMedians:
     """A fitted model: one table of (level, area, kind, median, support)."""
@@ -61,13 +81,11 @@ class GroupedMedians:
     @classmethod
     def fit(cls, rows: DataFrame, area: str = "canonical_area", kind: str = "property_type", target: str = "log_price") -> GroupedMedians:
         require(rows, [area, kind, target], "model fit")
-        if rows.isEmpty():
-            raise ModelError("there are no rows to fit")
         keyed = rows.select(T.trim_ws(F.coalesce(F.col(area), F.lit(""))).alias("area"), P.clean_property_type(F.col(kind)).alias("kind"), F.col(target).alias("target"))
-        sets = keyed.groupingSets([["area", "kind"], ["area"], ["kind"], []], "area", "kind")
-        level = F.element_at(F.array(*map(F.lit, LEVELS)), (F.grouping("area") * 2 + F.grouping("kind") + 1).cast("int"))
-        # grouping bits 00, 01, 10, 11 are the levels in order
-        return cls(sets.agg(level.alias("level"), F.median("target").alias("median"), F.count("*").alias("support")).persist(), area, kind)
+        count = keyed.count()
+        if not count:
+            raise ModelError("there are no rows to fit")
+        return cls(_groups(keyed, count).persist(), area, kind)
 
     @cached_property
     def many(self) -> bool:
@@ -80,23 +98,35 @@ class GroupedMedians:
 
     def predict(self, rows: DataFrame, support: int = SUPPORT) -> DataFrame:
         """``rows`` with ``predicted_price``, ``predicted_log_price``, ``support_count`` and ``backoff_level``."""
+        best = F.col("__best")
+        return self._joined(rows, {"__best": support}).withColumns(self._fields(best)).drop("__best")
+
+    def predict_many(self, rows: DataFrame, supports: Sequence[int], name: str = "min_group_support") -> DataFrame:
+        """``predict`` for several supports in one pass, a row for each and a column that tells which."""
+        joined = self._joined(rows, {f"__best{i}": s for i, s in enumerate(supports)})
+        each = F.explode(F.array(*(F.struct(F.lit(s).alias(name), F.col(f"__best{i}").alias("best")) for i, s in enumerate(supports))))
+        out = joined.withColumn("__each", each).drop(*(f"__best{i}" for i in range(len(supports))))
+        return out.withColumns({name: F.col("__each")[name], **self._fields(F.col("__each")["best"])}).drop("__each")
+
+    @staticmethod
+    def _fields(best: Column) -> dict[str, Column]:
+        return {"predicted_log_price": best["median"], "predicted_price": F.exp(best["median"]), "support_count": best["support"], "backoff_level": best["level"]}
+
+    def _joined(self, rows: DataFrame, supports: dict[str, int]) -> DataFrame:
+        """``rows`` with the group that answers for each support."""
         hint = (lambda t: t) if self.many else F.broadcast
-        level = lambda name: self.groups.where(F.col("level") == name)
+        group = F.struct("level", "median", "support")
+        level = lambda name, g, **keys: self.groups.where(F.col("level") == name).select(*(F.col(k).alias(v) for k, v in keys.items()), group.alias(g))
         out = rows.withColumns({"__area": T.trim_ws(F.coalesce(F.col(self.area), F.lit(""))), "__kind": P.clean_property_type(F.col(self.kind))})
-        pair = level("area_property_type").where(F.col("support") >= support).select(F.col("area").alias("a1"), F.col("kind").alias("k1"), F.struct("level", "median", "support").alias("g1"))
-        area = level("area").where(F.col("support") >= support).select(F.col("area").alias("a2"), F.struct("level", "median", "support").alias("g2"))
-        kind = level("property_type").where(F.col("support") >= support).select(F.col("kind").alias("k3"), F.struct("level", "median", "support").alias("g3"))
         overall = self.overall
         last = F.struct(F.lit(overall[0]).alias("level"), F.lit(overall[1]).alias("median"), F.lit(overall[2]).cast("long").alias("support"))
         out = (
-            out.join(hint(pair), (F.col("__area") == F.col("a1")) & (F.col("__kind") == F.col("k1")), "left")
-            .join(hint(area), F.col("__area") == F.col("a2"), "left")
-            .join(hint(kind), F.col("__kind") == F.col("k3"), "left")
+            out.join(hint(level("area_property_type", "g1", area="a1", kind="k1")), (F.col("__area") == F.col("a1")) & (F.col("__kind") == F.col("k1")), "left")
+            .join(hint(level("area", "g2", area="a2")), F.col("__area") == F.col("a2"), "left")
+            .join(hint(level("property_type", "g3", kind="k3")), F.col("__kind") == F.col("k3"), "left")
         )
-        best = F.coalesce("g1", "g2", "g3", last)
-        return out.withColumns(
-            {"predicted_log_price": best["median"], "predicted_price": F.exp(best["median"]), "support_count": best["support"], "backoff_level": best["level"]}
-        ).drop("__area", "__kind", "a1", "k1", "g1", "a2", "g2", "k3", "g3")
+        found = {n: F.coalesce(*(F.when(F.col(g)["support"] >= s, F.col(g)) for g in ("g1", "g2", "g3")), last) for n, s in supports.items()}
+        return out.withColumns(found).drop("__area", "__kind", "a1", "k1", "g1", "a2", "g2", "k3", "g3")
 
     def save(self, path: str) -> None:
         self.groups.coalesce(1).write.mode("overwrite").parquet(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 from datetime import date
 from decimal import Decimal
@@ -15,6 +17,7 @@ from ..functions import hashing, parsing, text
 from ..operators import cleaning, duplicates, evaluate, geography, model, profile, rules
 from ..sources import configs, register
 from . import oracles as O
+from . import reports, stages
 from .derive import DATES, EVIDENCE, PLACES, PRICES, RECORDS, REGISTER, SALES, TRAINING, derived, spark_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,10 +31,6 @@ def query(f: Query) -> Query:
     return f
 
 
-def _both(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
-
 def _fitted(spark: SparkSession, sf: str) -> tuple[model.GroupedMedians, DataFrame]:
     rows = derived(spark, sf, SALES).withColumn("log_price", F.log("price"))
     train, held, _ = model.temporal_split(rows, "transaction_date", HOLDOUT)
@@ -44,14 +43,14 @@ def _fitted(spark: SparkSession, sf: str) -> tuple[model.GroupedMedians, DataFra
 @query
 def baseline_metrics(spark: SparkSession, sf: str) -> DataFrame:
     fitted, held = _fitted(spark, sf)
-    found = [evaluate.metrics(fitted.predict(held, s)).withColumn("min_group_support", F.lit(s)) for s in SUPPORTS]
-    return _both(found).select("min_group_support", "rows", F.round("mae", 2).alias("mae"), F.round("mdape", 6).alias("mdape"), F.round("log_mae", 6).alias("log_mae"))
+    found = evaluate.metrics(fitted.predict_many(held, SUPPORTS), by=["min_group_support"], rows=len(SUPPORTS) * fitted.overall[2])
+    return found.select("min_group_support", "rows", F.round("mae", 2).alias("mae"), F.round("mdape", 6).alias("mdape"), F.round("log_mae", 6).alias("log_mae"))
 
 
 @query
 def baseline_backoff_counts(spark: SparkSession, sf: str) -> DataFrame:
     fitted, held = _fitted(spark, sf)
-    return _both([evaluate.backoff_counts(fitted.predict(held, s)).withColumn("min_group_support", F.lit(s)) for s in SUPPORTS])
+    return fitted.predict_many(held, SUPPORTS).groupBy("backoff_level", "min_group_support").agg(F.count("*").alias("rows"))
 
 
 @query
@@ -79,6 +78,16 @@ def report_payload(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def single_prediction(spark: SparkSession, sf: str) -> DataFrame:
+    """One property's prediction, as a report shows it."""
+    fitted, _ = _fitted(spark, sf)
+    one = reports.predict_one(spark, fitted, "FRANCE", "BUILDING", asking=150000.0, support=3)
+    keys = {"predicted_price": 2, "asking_minus_predicted": 2, "asking_minus_predicted_pct": 6}
+    row = (one["backoff_level"], one["support_count"], one["confidence_state"], *(round(one[k], n) for k, n in keys.items()))
+    return spark.createDataFrame([row], "backoff_level string, support_count long, confidence_state string, predicted_price double, asking_minus_predicted double, asking_minus_predicted_pct double")
+
+
 @query
 def confidence_states(spark: SparkSession, sf: str) -> DataFrame:
     fitted, held = _fitted(spark, sf)
@@ -177,6 +186,26 @@ def standardised_register(spark: SparkSession, sf: str) -> DataFrame:
     return whole.drop(*own, *(c for c in whole.columns if c.startswith(register.RAW_PREFIX)))
 
 
+@query
+def raw_copies(spark: SparkSession, sf: str) -> DataFrame:
+    """The verbatim copies under their short names."""
+    whole = register.standardise(_raw_register(spark, sf), register.RegisterConfig("orders", date(2000, 1, 1)), "0" * 64)
+    return whole.select(*(c for c in whole.columns if c.startswith(register.RAW_PREFIX)))
+
+
+@query
+def register_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """The register written as a Windows-1252 file and read back strictly, header checks included."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='register-')}"
+    path = f"{folder}/register-{uuid.uuid4().hex}"
+    raw = _raw_register(spark, sf)
+    # Spark writes no Windows-1252, but the bytes are those of its letters in ISO-8859-1
+    raw = raw.select(*(register.encoded(F.col(f"`{c}`")).alias(register.encoded_text(c)) for c in raw.columns))
+    raw.write.options(header=True, encoding="ISO-8859-1", quoteAll=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    read = register.read_register(spark, register.RegisterConfig(path, date(2000, 1, 1)))
+    return read.toDF(*(register.slug(c) for c in read.columns))
+
+
 @query
 def row_numbers(spark: SparkSession, sf: str) -> DataFrame:
     numbered = register.number_rows(derived(spark, sf, "SELECT o_orderkey FROM {orders}"))
@@ -215,6 +244,22 @@ def area_coverage(spark: SparkSession, sf: str) -> DataFrame:
     return profile.area_coverage(dated, list(areas.SCOPE_BY_AREA))
 
 
+@query
+def geography_extracts(spark: SparkSession, sf: str) -> DataFrame:
+    """The audits' extracts of the geography stage."""
+    dated = _mapped(spark, sf).withColumns({"transaction_date": F.lit(date(2020, 1, 1)), "source_row_number": F.col("p_partkey").cast("long")})
+    audits = stages.geography_audits(dated)
+    some = [audits[name].select(F.lit(name).alias("audit"), "record_id", "geography_match_status") for name in ("unmatched", "ambiguous", "overrides", "out_of_scope")]
+    return reduce(DataFrame.unionByName, some)
+
+
+@query
+def address_statuses(spark: SparkSession, sf: str) -> DataFrame:
+    """The audit of address statuses, by value, and flags."""
+    dated = _mapped(spark, sf).withColumns({"transaction_date": F.lit(date(2020, 1, 1)), "source_row_number": F.col("p_partkey").cast("long")})
+    return stages.geography_audits(dated)["addresses"]
+
+
 @query
 def manual_override(spark: SparkSession, sf: str) -> DataFrame:
     decided = [configs.Override(str(k), "Ranelagh", "inference") for k in (8, 17, 40, 99)]
@@ -311,6 +356,28 @@ def token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return profile.token_counts(_assessed(spark, sf), "address_quality_flags", "no_flags")
 
 
+@query
+def rows_of_a_reason(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows whose pipe-joined reasons hold one as a whole item."""
+    return _assessed(spark, sf).where(text.pipe_has(F.col("exclusion_reasons"), "invalid_date")).select("o_orderkey")
+
+
+@query
+def value_counts_by_value(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.value_counts(_assessed(spark, sf), "duplicate_status", by_value=True)
+
+
+@query
+def first_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The first rows in the source's order."""
+    return reports.first_rows(derived(spark, sf, RECORDS), 20).select("record_id", "source_row_number")
+
+
+@query
+def samples_by_reason(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.samples_by_reason(_assessed(spark, sf).where("record_id is not null"), rows=3)
+
+
 @query
 def reason_summary(spark: SparkSession, sf: str) -> DataFrame:
     return profile.reason_summary(_assessed(spark, sf))

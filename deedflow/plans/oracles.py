@@ -336,6 +336,11 @@ def _funnel() -> str:
     )
 
 
+def _copies() -> str:
+    names = "date_of_sale_dd_mm_yyyy address county eircode price not_full_market_price vat_exclusive description_of_property property_size_description".split()
+    return f"SELECT {', '.join(f'c{i} AS source_raw__{n}' for i, n in enumerate(names, 1))} FROM ({plain(REGISTER)}) AS r"
+
+
 def statements(supports: tuple[int, ...], holdout: int) -> dict[str, str]:
     model = _model(supports, holdout)
     lit = lambda names: values([(n,) for n in names], "l(x)")
@@ -352,6 +357,11 @@ def statements(supports: tuple[int, ...], holdout: int) -> dict[str, str]:
             FROM s GROUP BY GROUPING SETS ((area, kind), (area), (kind), ())""",
         "report_payload": _model((450,), holdout) + f"""SELECT o_orderkey, round(price * 1.1::DOUBLE - exp(m), 4) AS gap, round((price * 1.1::DOUBLE - exp(m)) / exp(m), 6) AS gap_share, {CONFIDENCE.format(level="backoff_level", n="n")} AS confidence_state,
             round(exp(m - 0.25), 2) AS lower, round(exp(m + 0.25), 2) AS upper FROM predicted""",
+        "single_prediction": model + f"""SELECT l AS backoff_level, n AS support_count, {CONFIDENCE.format(level="l", n="n")} AS confidence_state, round(exp(m), 2) AS predicted_price,
+            round(150000 - exp(m), 2) AS asking_minus_predicted, round((150000 - exp(m)) / exp(m), 6) AS asking_minus_predicted_pct
+            FROM (SELECT 1 AS o, 'area_property_type' AS l, m, n FROM pair WHERE a = 'FRANCE' AND k = 'BUILDING' UNION ALL SELECT 2, 'area', m, n FROM area WHERE a = 'FRANCE'
+                  UNION ALL SELECT 3, 'property_type', m, n FROM kind WHERE k = 'BUILDING' UNION ALL SELECT 4, 'global', m, n FROM everything) AS g
+            WHERE n >= 3 OR o = 4 ORDER BY o LIMIT 1""",
         "confidence_states": _model((1,), holdout) + f"SELECT {CONFIDENCE.format(level='backoff_level', n='n % 20')} AS confidence_state, count(*) AS rows FROM predicted GROUP BY 1",
         "segment_metrics": _model((100,), holdout) + "SELECT canonical_area, property_type, count(*) AS rows, round(avg(abs(price - exp(m))), 3) AS mae, round(median(abs(price - exp(m)) / price), 6) AS mdape FROM predicted GROUP BY 1, 2",
         "calibrated_interval": _model((100,), holdout) + """, q AS (SELECT quantile_cont(ln(price) - m, 0.1) AS low, quantile_cont(ln(price) - m, 0.9) AS high FROM predicted)
@@ -369,11 +379,20 @@ def statements(supports: tuple[int, ...], holdout: int) -> dict[str, str]:
         "flag_maps": FLAG_SQL,
         "description_map": DESCRIPTION_SQL,
         "standardised_register": _register(),
+        "raw_copies": _copies(),
+        "register_csv": _copies(),
         "row_numbers": "SELECT 1::BIGINT AS least, count(*) AS most, count(*) AS numbers FROM orders",
         "normalise_text": f"WITH places AS ({plain(PLACES)}) SELECT p_partkey, {_tidy()} AS tidy, strip_accents({_tidy()}) AS folded FROM places",
         "address_fields": f"WITH {ADDRESS_CTE} SELECT p_partkey, {', '.join(geography.ADDRESS_FIELDS)} FROM addressed",
         "area_match": _areas() + "SELECT * FROM mapped",
         "area_coverage": _coverage(),
+        "geography_extracts": _areas() + """, s AS (SELECT p_partkey, p_partkey::VARCHAR AS record_id, geography_match_status, geo_scope FROM mapped)
+            SELECT 'unmatched' AS audit, record_id, geography_match_status FROM s WHERE geography_match_status IN ('unmatched', 'invalid_address')
+            UNION ALL SELECT 'ambiguous', record_id, geography_match_status FROM s WHERE geography_match_status = 'ambiguous'
+            UNION ALL SELECT * FROM (SELECT 'out_of_scope', record_id, geography_match_status FROM s WHERE geo_scope = 'out_of_scope' ORDER BY p_partkey LIMIT 500) AS o""",
+        "address_statuses": f"""WITH {ADDRESS_CTE}
+            SELECT 'status' AS kind, address_normalization_status AS value, count(*) AS count FROM addressed GROUP BY ALL
+            UNION ALL SELECT 'flag', f, count(*) FROM (SELECT unnest(CASE WHEN address_quality_flags = '' THEN ['no_flags'] ELSE string_split(address_quality_flags, '|') END) AS f FROM addressed) AS u GROUP BY ALL""",
         "manual_override": _areas() + """SELECT p_partkey, CASE WHEN hand THEN 'Ranelagh' ELSE canonical_area END AS canonical_area, CASE WHEN hand THEN 'inference' ELSE geo_scope END AS geo_scope,
             CASE WHEN hand THEN 'manual_override' ELSE geography_match_status END AS geography_match_status, CASE WHEN hand THEN 'manual_override' ELSE matched_aliases END AS matched_aliases
             FROM (SELECT *, p_partkey IN (8, 17, 40, 99) AS hand FROM mapped) AS m""",
@@ -391,6 +410,10 @@ def statements(supports: tuple[int, ...], holdout: int) -> dict[str, str]:
         "value_counts": _assessed() + "SELECT coalesce(exclusion_reason, '<null>') AS value, count(*) AS count FROM a GROUP BY 1",
         "value_counts_top": "SELECT o_custkey::VARCHAR AS value, count(*) AS count FROM orders GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 25",
         "token_counts": _assessed() + "SELECT token, count(*) AS count FROM (SELECT unnest(CASE WHEN address_quality_flags = '' THEN ['no_flags'] ELSE string_split(address_quality_flags, '|') END) AS token FROM a) AS t GROUP BY 1",
+        "rows_of_a_reason": _assessed() + "SELECT o_orderkey FROM a WHERE list_contains(rs, 'invalid_date')",
+        "value_counts_by_value": f"SELECT duplicate_status AS value, count(*) AS count FROM ({plain(EVIDENCE)}) AS e GROUP BY 1 ORDER BY 1",
+        "first_rows": f"SELECT record_id, source_row_number FROM ({plain(RECORDS)}) AS r ORDER BY source_row_number LIMIT 20",
+        "samples_by_reason": _assessed() + "SELECT exclusion_reason, record_id, raw_address FROM (SELECT *, row_number() OVER (PARTITION BY exclusion_reason ORDER BY record_id, raw_address) AS nth FROM a WHERE record_id IS NOT NULL AND exclusion_reason IS NOT NULL) AS s WHERE nth <= 3",
         "reason_summary": _assessed() + f"""SELECT x AS reason, count(*) FILTER (WHERE exclusion_reason = x) AS primary_rows, count(*) FILTER (WHERE list_contains(rs, x)) AS all_rows,
             count(*) FILTER (WHERE list_contains(rs, x) AND locked) AS locked_rows, count(*) FILTER (WHERE list_contains(rs, x) AND len(rs) > 1) AS overlap_rows FROM {lit(reasons)} CROSS JOIN a GROUP BY x""",
         "long_profile": _profile(),

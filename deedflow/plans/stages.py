@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from ..config import areas
 from ..operators import cleaning, duplicates, geography, profile, rules
-from ..sources import configs, tables
-from ..sources.register import RegisterConfig, load_register
+from ..sources import configs, schemas, tables
+from ..sources.register import RAW_PREFIX, RegisterConfig, load_register
 
 GEOGRAPHY_ADDED = (*geography.ADDRESS_FIELDS, *geography.GEOGRAPHY_FIELDS)
 CLEANING_ADDED = (*rules.MULTI_PROPERTY_FIELDS, *rules.SCOPE_FIELDS, *duplicates.DUPLICATE_FIELDS, *cleaning.CLEANING_FIELDS)
@@ -41,11 +41,14 @@ def build(spark: SparkSession, config: RegisterConfig, out: str, aliases_path: s
         ("assessed", lambda df: assess(df, rule_set), ("exclude_from_training", "duplicate_status")),
     )
     before: DataFrame | None = None
+    columns = [*schemas.CORE, *(c for c in source.columns if c.startswith(RAW_PREFIX))]
+    added = {"standardised": (), "geography": GEOGRAPHY_ADDED, "assessed": CLEANING_ADDED}
     for name, make, not_null in steps:
-        made = make(before)
+        columns = [*columns, *added[name]]
+        made = schemas.check(make(before), columns, name)
         path = f"{out}/{name}/snapshot_date={config.snapshot}"
-        tables.write_stage(made, path, made.columns, mode="overwrite")
-        before = tables.validate_stage(spark, path, made, not_null, inherited=before)
+        tables.write_stage(made, path, columns, mode="overwrite")
+        before = schemas.check(tables.validate_stage(spark, path, made, not_null, inherited=before), columns, f"{name} as written")
     return before
 
 

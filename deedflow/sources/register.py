@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from datetime import date
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..errors import SourceDecodeError, SourceSchemaError
@@ -45,15 +45,29 @@ def decoded(c: Column) -> Column:
     return F.translate(c, _FROM, _TO)
 
 
+def encoded(c: Column) -> Column:
+    """The inverse of ``decoded``."""
+    return F.translate(c, _TO, _FROM)
+
+
+def encoded_text(value: str) -> str:
+    return value.translate(str.maketrans(_TO, _FROM))
+
+
 def slug(column: str) -> str:
     return RAW_PREFIX + re.sub(r"[^0-9a-zA-Z]+", "_", column).strip("_").lower()
 
 
-def file_sha256(spark: SparkSession, path: str) -> str:
-    """SHA-256 of the file's bytes, read where Spark reads."""
-    digest = hashlib.sha256()
-    for row in spark.read.format("binaryFile").load(path).select("content").toLocalIterator():
-        digest.update(row[0])
+def file_sha256(spark: SparkSession, path: str, block: int = 1 << 22) -> str:
+    """SHA-256 of the file's bytes, read in blocks through the file system that Spark uses."""
+    jvm, digest = spark.sparkContext._jvm, hashlib.sha256()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    stream = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(where)
+    try:
+        while data := bytes(stream.readNBytes(block)):
+            digest.update(data)
+    finally:
+        stream.close()
     return digest.hexdigest()
 
 
@@ -104,19 +118,17 @@ def read_register(spark: SparkSession, config: RegisterConfig) -> DataFrame:
 
 
 def number_rows(df: DataFrame, name: str = "source_row_number") -> DataFrame:
-    """Rows numbered from 1 in the order of the scan.
+    """Rows numbered from 1 in the order of the scan, without moving them.
 
-    Only the number of rows in each partition is gathered first; the same file scan has the same partitions
-    in both passes.
+    The number of rows in each partition is counted first and the offsets are joined as a table of one row for each
+    partition.  The same scan of the same files has the same partitions in both passes; ``load_register`` checks the file's hash.
     """
     placed = df.withColumns({"__part": F.spark_partition_id(), "__at": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))})
-    counts = {r[0]: r[1] for r in placed.groupBy("__part").count().collect()}  # one row for each partition
-    starts, total = [], 0
-    for part in range(max(counts, default=-1) + 1):
-        starts.append(total)
-        total += counts.get(part, 0)
-    offset = F.element_at(F.array(*map(F.lit, starts or [0])), F.col("__part") + 1).cast("long")
-    return placed.withColumn(name, offset + F.col("__at") + 1).drop("__part", "__at")
+    counts = placed.groupBy("__part").agg(F.count("*").alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col("__part").alias("__of"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    joined = placed.join(F.broadcast(offsets), F.col("__part") == F.col("__of"))
+    return joined.withColumn(name, F.col("__start") + F.col("__at") + 1).drop("__part", "__at", "__of", "__start")
 
 
 def standardise(raw: DataFrame, config: RegisterConfig, sha256: str) -> DataFrame:

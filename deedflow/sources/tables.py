@@ -98,6 +98,16 @@ def write_csv(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
     out.coalesce(1).write.mode("overwrite").options(header=True, escape='"').csv(path)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file where Spark writes."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    stream = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def as_json(values: dict) -> str:
     return json.dumps(values, sort_keys=True, indent=2, ensure_ascii=False, default=str)
 
