@@ -7,7 +7,7 @@ The fit uses at most ``SAMPLE`` labelled rows, those with the least hash; scorin
 
 Defined results: null and empty texts have all statistics zero and get a score like any other; without
 labels of both classes every score is the share of label 1 (0.5 without labels); repeated label rows count
-repeatedly; an empty table stays empty; columns named like the result column are replaced.
+repeatedly, of rows that share an id one text is learned from; long texts are measured whole; of splits that gain alike the first is taken; an empty table stays empty; columns named like the result column are replaced.
 """
 
 from __future__ import annotations
@@ -144,12 +144,15 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, label: str, doc_id: s
     """Trees from at most ``sample`` labelled rows; ``train`` (on the labels) tells those that may be used."""
     rows = labels.where(F.coalesce(train, F.lit(False)) & F.col(label).isNotNull() & F.col(doc_id).isNotNull())
     chosen = durable(rows.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("double").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample))
-    # at most ``sample`` rows
-    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id").select("label", "text")
+    # at most ``sample`` rows, and one text for each
+    once = F.broadcast(chosen.groupBy("doc_id", "label").agg(F.count("*").alias("n")))
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(once, "doc_id").groupBy("doc_id", "label", "n").agg(F.min("text").alias("text"))
     arrays = lambda t: pa.FixedSizeListArray.from_arrays(pa.array(_matrix(t).ravel()), len(FEATURES)).cast(pa.list_(pa.float64()))
-    found = _measured(texts, ["label"], "text", "x", "array<double>", arrays).toPandas()
+    found = _measured(texts, ["label", "n"], "text", "x", "array<double>", arrays).toPandas()
     x = np.stack(found["x"].to_numpy()) if len(found) else np.zeros((0, len(FEATURES)))
-    return grow(x, found["label"].to_numpy(np.float64))
+    times = found["n"].to_numpy(np.int64)
+    by = np.lexsort((*x.T, found["label"].to_numpy(np.float64))) if len(x) else np.zeros(0, np.int64)  # the same sums whatever the order of arrival
+    return grow(np.repeat(x[by], times[by], axis=0), np.repeat(found["label"].to_numpy(np.float64)[by], times[by]))
 
 
 def judge(docs: DataFrame, forest: Forest, text: str = "text", score: str = "score") -> DataFrame:
