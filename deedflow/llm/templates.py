@@ -4,7 +4,7 @@ Texts become token sequences (punctuation at the ends of a word is dropped, case
 units after numbers, and, in a second view, names (capitalised words inside a sentence) are typed
 placeholders.  Windows of ``WINDOW`` tokens are hashed with the placeholders' types in place of their values,
 so a question asked again with other numbers or names has the same windows.  Document windows are
-hash-joined with benchmark windows.  Windows equal in every slot value always count; of the others along one
+hash-joined with benchmark windows: first with those that few items share, which give the candidates, then all windows of these.  Windows equal in every slot value always count; of the others along one
 alignment of document and item every slot value of the item must stand for one value of the document, else
 they do not count.  A document is contaminated by
 an item if consistent windows cover half of the item's windows or ``RUN`` windows of one alignment match.
@@ -17,6 +17,7 @@ tokens) until they have ``LITERALS`` literals.  So every window of an item count
 
 Items shorter than a window are one window of their own length.  Items of less than ``LITERALS`` tokens can't be
 told from common speech inside a sentence; they match exactly where they are whole sentences.  Defined results: null and empty texts match nothing;
+long texts are matched whole, in pieces; ties (windows that several items share) count for each item;
 repeated rows are matched alike and reported once (rows are told apart by doc_id and text); an empty table
 on either side gives an empty result; only the result columns are returned.
 """
@@ -29,7 +30,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .runtime import durable, ship, trim
@@ -252,6 +253,21 @@ def _window_rows(lengths: list[int] | None, bitmap: np.ndarray | None):
 COLUMNS = "hash long, pos long, n long, slots array<long>"
 
 
+def _rare(bench: DataFrame, totals: DataFrame, run: int, cover: float) -> DataFrame:
+    """(hash, item_id): windows of which a contaminated document has one at least.
+
+    It covers t places of an item's n, so one of any n - t + 1; those whose windows the fewest items share are taken.  A
+    passage that many items have in common thus isn't matched for each of them, unless nothing else is left of an item.
+    """
+    shared = bench.groupBy("hash").agg(F.count_distinct("item_id").alias("items"))
+    places = bench.join(shared, "hash").groupBy("item_id", "pos").agg(F.max("items").alias("items"))
+    least = F.greatest(F.lit(1), F.least(F.lit(run), F.ceil(F.lit(cover) * F.col("n_windows"))))
+    # as many rows as an item has places
+    order = Window.partitionBy("item_id").orderBy("items", "pos")
+    some = places.join(totals, "item_id").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= F.col("n_windows") - least + 1)
+    return bench.join(some.select("item_id", "pos"), ["item_id", "pos"]).select("hash", "item_id").distinct()
+
+
 def benchmark_windows(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
     items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("text"))
     return items.mapInArrow(_window_rows(None, None), f"item_id long, {COLUMNS}").distinct()
@@ -293,10 +309,13 @@ def contaminated(
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    rows = rows.mapInArrow(thinned, f"doc_id {kind}, text_hash long, {COLUMNS}").drop("n").distinct()
+    rows = durable(rows.mapInArrow(thinned, f"doc_id {kind}, text_hash long, {COLUMNS}").drop("n").distinct())
     items = bench.select("hash", "item_id", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"))
     totals = bench.groupBy("item_id").agg(F.count_distinct("pos").alias("n_windows"))
-    hits = rows.join(items, "hash")
+    candidates = rows.join(_rare(bench, totals, run, cover), "hash").select(F.col("doc_id").alias("of_doc"), F.col("text_hash").alias("of_text"), "item_id").distinct()
+    windows_of = candidates.join(items, "item_id").withColumnRenamed("hash", "of_hash")
+    same_doc = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_hash") == F.col("of_text")) & (F.col("hash") == F.col("of_hash"))
+    hits = rows.join(windows_of, same_doc).drop("of_doc", "of_text", "of_hash")
     pairs = F.filter(F.arrays_zip("item_slots", "slots"), lambda p: p["item_slots"] != 0)
     same = ~F.exists("pairs", lambda p: p["item_slots"] != p["slots"])
     aligned = (
