@@ -11,8 +11,8 @@ a text or any other value that many rows share does not make a bucket hot; only
 every key column meet.
 
 Defined results: nulls hash like any other value; repeated rows get numbers next to each other, one each,
-and it does not matter which of them gets which; an empty table stays empty; no column of the input may be
-named like a result column, such a column is replaced.
+and it does not matter which of them gets which (they are the only ties, and share a bucket); very long texts only matter to
+the hash; an empty table stays empty; other columns are kept, and one named like a result column is replaced.
 """
 
 from __future__ import annotations

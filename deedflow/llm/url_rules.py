@@ -11,7 +11,7 @@ projection, so nothing is shuffled.  Larger rule sets are a table keyed by token
 tokens of the distinct URLs; Spark picks the join by size and splits hot tokens.
 
 Defined results: a null URL or one without ``://`` has empty host and path and gets the default verdict;
-repeated rows are judged alike; no rules at all leave every URL to the default; an empty table stays
+very long URLs are judged whole; rules that tie in path and host go by verdict; repeated rows are judged alike; no rules at all leave every URL to the default; an empty table stays
 empty; other columns are kept, and a column that has the name of a result column is replaced.
 """
 
