@@ -128,6 +128,10 @@ class GroupedMedians:
         found = {n: F.coalesce(*(F.when(F.col(g)["support"] >= s, F.col(g)) for g in ("g1", "g2", "g3")), last) for n, s in supports.items()}
         return out.withColumns(found).drop("__area", "__kind", "a1", "k1", "g1", "a2", "g2", "k3", "g3")
 
+    def release(self) -> None:
+        """Give the cached groups back; they are worked out again if they are asked for."""
+        self.groups.unpersist()
+
     def save(self, path: str) -> None:
         self.groups.coalesce(1).write.mode("overwrite").parquet(path)
 

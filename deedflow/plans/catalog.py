@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import areas
-from ..functions import hashing, parsing, text
+from ..functions import hashing, parsing, text, unicode
 from ..operators import cleaning, duplicates, evaluate, geography, model, profile, rules
 from ..sources import configs, register
 from . import oracles as O
 from . import reports, stages
-from .derive import DATES, EVIDENCE, PLACES, PRICES, RECORDS, REGISTER, SALES, TRAINING, derived, spark_text
+from .derive import DATES, EVIDENCE, MARKED_TEXTS, PLACES, PRICES, RECORDS, REGISTER, SALES, TRAINING, derived, spark_text
 
 Query = Callable[[SparkSession, str], DataFrame]
 SUPPORTS = (3, 100, 450, 3000)
@@ -212,6 +212,12 @@ def row_numbers(spark: SparkSession, sf: str) -> DataFrame:
     return numbered.agg(F.min("source_row_number").alias("least"), F.max("source_row_number").alias("most"), F.count_distinct("source_row_number").alias("numbers"))
 
 
+@query
+def numbered_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Each row with its number in the order of the file."""
+    return register.number_rows(derived(spark, sf, "SELECT o_orderkey FROM {orders}"))
+
+
 # --- text and geography ------------------------------------------------------------------------------------
 
 
@@ -244,6 +250,19 @@ def area_coverage(spark: SparkSession, sf: str) -> DataFrame:
     return profile.area_coverage(dated, list(areas.SCOPE_BY_AREA))
 
 
+@query
+def composed_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Latin letters with combining marks, composed."""
+    return derived(spark, sf, MARKED_TEXTS).select("n_nationkey", unicode.composed_latin(F.col("raw")).alias("composed"))
+
+
+@query
+def component_match(spark: SparkSession, sf: str) -> DataFrame:
+    """Addresses of which one comma-separated part is an area's name."""
+    places = geography.normalise_addresses(_places(spark, sf))
+    return places.where(text.has_component(F.col("address_match_text"), "RANELAGH")).select("p_partkey")
+
+
 @query
 def geography_extracts(spark: SparkSession, sf: str) -> DataFrame:
     """The audits' extracts of the geography stage."""

@@ -120,6 +120,10 @@ PLACES = (
     + f" ON p_partkey % {len(ADDRESSES)} = i"
 )
 
+#: Letters with combining marks, as some sources write them; each nation gets one of these words.
+MARKED = ("Du\u0301n", "e\u0323\u0302", "A\u030a", "\u00e9\u0323", "n\u0303o", "plain", "Z\u030c\u0301", "\u0301 alone")
+MARKED_TEXTS = "SELECT n_nationkey, concat(word, ' ', n_name, ' ', word) AS raw FROM {nation} JOIN " + values(list(enumerate(MARKED)), "words(i, word)") + f" ON n_nationkey % {len(MARKED)} = i"
+
 #: Evidence of every kind, dealt out over the orders.
 EVIDENCE = """
 SELECT CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE CAST(o_orderkey AS STRING) END AS record_id,

@@ -6,7 +6,7 @@ from ..config import areas
 from ..functions import parsing, text
 from ..operators import cleaning, geography, profile, rules
 from ..sources import configs, register
-from .derive import DATES, EVIDENCE, PLACES, PRICES, RECORDS, REGISTER, SALES, TRAINING, plain, values
+from .derive import DATES, EVIDENCE, MARKED_TEXTS, PLACES, PRICES, RECORDS, REGISTER, SALES, TRAINING, plain, values
 
 KINDS = ", ".join(f"'{k}'" for k in parsing.PROPERTY_TYPES)
 
@@ -386,6 +386,9 @@ def statements(supports: tuple[int, ...], holdout: int) -> dict[str, str]:
         "address_fields": f"WITH {ADDRESS_CTE} SELECT p_partkey, {', '.join(geography.ADDRESS_FIELDS)} FROM addressed",
         "area_match": _areas() + "SELECT * FROM mapped",
         "area_coverage": _coverage(),
+        "numbered_rows": "SELECT o_orderkey, row_number() OVER () AS source_row_number FROM orders",
+        "composed_text": f"SELECT n_nationkey, nfc_normalize(raw) AS composed FROM ({plain(MARKED_TEXTS)}) AS m",
+        "component_match": f"WITH {ADDRESS_CTE} SELECT p_partkey FROM addressed WHERE len(list_filter(string_split(address_match_text, ','), lambda p: trim(p) = 'RANELAGH')) > 0",
         "geography_extracts": _areas() + """, s AS (SELECT p_partkey, p_partkey::VARCHAR AS record_id, geography_match_status, geo_scope FROM mapped)
             SELECT 'unmatched' AS audit, record_id, geography_match_status FROM s WHERE geography_match_status IN ('unmatched', 'invalid_address')
             UNION ALL SELECT 'ambiguous', record_id, geography_match_status FROM s WHERE geography_match_status = 'ambiguous'
