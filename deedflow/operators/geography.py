@@ -23,21 +23,20 @@ LEAST_TOKENS, LOCALITY_TOKENS = 2, 3
 RESOLVES_FROM, RESOLVES_OVER = 10, 80
 
 
-def address_columns(raw: Column) -> dict[str, Column]:
-    """The four address fields of a raw address."""
-    tidy = T.normalise(raw)
+def address_columns(raw: Column, tidy: Column, match: Column) -> dict[str, Column]:
+    """The four address fields of a raw address, its tidied and its folded form."""
     blank = raw.isNull() | (T.trim_ws(raw) == "")
     mute = ~tidy.rlike("[A-Z0-9]")
     missing = blank | mute
     short = F.size(T.tokens(tidy)) < LEAST_TOKENS
-    folded = T.tokens(T.fold(tidy))
+    folded = T.tokens(match)
     numbered = F.exists(folded, lambda t: t.rlike("^[0-9]+$"))
     broad_only = F.size(F.array_except(folded, F.array(*map(F.lit, BROAD_WORDS)))) == 0
     locality = (F.size(folded) > 0) & (F.size(folded) <= LOCALITY_TOKENS) & ~numbered & ~broad_only
     flags = T.which([(blank, "missing_raw_address"), (~blank & mute, "punctuation_only_address"), (~missing & short, "too_short_address"), (~missing & locality, "broad_locality_only")])
     return {
         "address_normalized": F.when(~missing, tidy),
-        "address_match_text": F.when(~missing, T.fold(tidy)),
+        "address_match_text": F.when(~missing, match),
         "address_normalization_status": F.when(missing, "missing").when(short, "too_short").otherwise("normalized"),
         "address_quality_flags": T.pipe(flags),
     }
@@ -45,7 +44,9 @@ def address_columns(raw: Column) -> dict[str, Column]:
 
 def normalise_addresses(df: DataFrame, raw: str = "raw_address") -> DataFrame:
     require(df, [raw], "address normalisation")
-    return df.withColumns(address_columns(F.col(raw)))
+    # both forms are worked out once, in projections of their own
+    staged = df.withColumn("__tidy", T.normalise(F.col(raw))).withColumn("__match", T.fold(F.col("__tidy")))
+    return staged.withColumns(address_columns(F.col(raw), F.col("__tidy"), F.col("__match"))).drop("__tidy", "__match")
 
 
 def candidates(text: Column, aliases: Sequence[Alias]) -> Column:
