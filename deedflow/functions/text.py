@@ -41,12 +41,13 @@ def _word(word: Column) -> Column:
 def normalise(c: Column, compose: bool = False) -> Column:
     """Upper-case text with uniform spacing, punctuation and written-out abbreviations.
 
-    The parts between commas are tidied word by word, and empty ones go.  Latin letters with combining marks are
-    composed; ``compose`` composes every script, through a Python function.
+    The parts between commas are tidied word by word, and empty ones go.  ``compose`` brings text that may hold combining marks
+    into composed form first, through a Python function; ``unicode.composed_latin`` does so natively for Latin letters.
     """
-    from .unicode import composed, composed_latin
+    if compose:
+        from .unicode import composed
 
-    c = composed(c) if compose else composed_latin(c)
+        c = composed(c)
     out = F.upper(F.translate(c, APOSTROPHES + DASHES, "'" * len(APOSTROPHES) + "-" * len(DASHES)))
     words = lambda part: F.filter(F.split(part, r"(?U)\s+"), lambda w: w != "")
     spaced = lambda part: F.array_join(F.transform(words(part), lambda w: F.replace(_word(w), F.lit("-"), F.lit(" - "))), " ")

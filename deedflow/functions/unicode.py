@@ -44,7 +44,8 @@ def _latin() -> tuple[dict[str, str], dict[str, str]]:
 
 
 def _table(values: dict) -> Column:
-    return F.create_map(*(F.lit(x) for pair in values.items() for x in pair))
+    """A map of texts, read from one literal so that plans stay small; no key or value holds the marks between them."""
+    return F.str_to_map(F.lit("|".join(f"{k}={v}" for k, v in values.items())), F.lit(r"\|"), F.lit("="))
 
 
 def composed_latin(c: Column) -> Column:
@@ -59,7 +60,7 @@ def composed_latin(c: Column) -> Column:
         letter = F.substring(x, 1, 1)
         apart = F.concat(F.coalesce(F.element_at(whole, letter), letter), F.substring(x, 2, 1 << 20))
         marks = F.filter(F.split(F.substring(apart, 2, 1 << 20), ""), lambda m: m != "")
-        ordered = F.array_sort(F.transform(marks, lambda m, i: F.struct(F.element_at(classes, m).alias("of"), i.alias("at"), m.alias("mark"))))
+        ordered = F.array_sort(F.transform(marks, lambda m, i: F.struct(F.element_at(classes, m).cast("int").alias("of"), i.alias("at"), m.alias("mark"))))
 
         def join(done: Column, m: Column) -> Column:
             new = F.element_at(pairs, F.concat(done["base"], m["mark"]))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..config import areas
 from ..functions import hashing, parsing, text, unicode
 from ..operators import cleaning, duplicates, evaluate, geography, model, profile, rules
-from ..sources import configs, register
+from ..sources import configs, register, tables
 from . import oracles as O
 from . import reports, stages
 from .derive import DATES, EVIDENCE, MARKED_TEXTS, PLACES, PRICES, RECORDS, REGISTER, SALES, TRAINING, derived, spark_text
@@ -193,11 +193,16 @@ def raw_copies(spark: SparkSession, sf: str) -> DataFrame:
     return whole.select(*(c for c in whole.columns if c.startswith(register.RAW_PREFIX)))
 
 
+def _fresh_path(spark: SparkSession, name: str) -> str:
+    """In the shared folder, or in a local one where the session has none."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='tables-')}"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
 @query
 def register_csv(spark: SparkSession, sf: str) -> DataFrame:
     """The register written as a Windows-1252 file and read back strictly, header checks included."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='register-')}"
-    path = f"{folder}/register-{uuid.uuid4().hex}"
+    path = _fresh_path(spark, "register")
     raw = _raw_register(spark, sf)
     # Spark writes no Windows-1252, but the bytes are those of its letters in ISO-8859-1
     raw = raw.select(*(register.encoded(F.col(f"`{c}`")).alias(register.encoded_text(c)) for c in raw.columns))
@@ -263,11 +268,18 @@ def component_match(spark: SparkSession, sf: str) -> DataFrame:
     return places.where(text.has_component(F.col("address_match_text"), "RANELAGH")).select("p_partkey")
 
 
+def _geography_stage(spark: SparkSession, sf: str) -> DataFrame:
+    """The geography stage as a written table, which the audits read."""
+    dated = _mapped(spark, sf).withColumns({"transaction_date": F.lit(date(2020, 1, 1)), "source_row_number": F.col("p_partkey").cast("long")})
+    path = _fresh_path(spark, "geography")
+    tables.write_stage(dated, path, dated.columns)
+    return spark.read.parquet(path)
+
+
 @query
 def geography_extracts(spark: SparkSession, sf: str) -> DataFrame:
     """The audits' extracts of the geography stage."""
-    dated = _mapped(spark, sf).withColumns({"transaction_date": F.lit(date(2020, 1, 1)), "source_row_number": F.col("p_partkey").cast("long")})
-    audits = stages.geography_audits(dated)
+    audits = stages.geography_audits(_geography_stage(spark, sf))
     some = [audits[name].select(F.lit(name).alias("audit"), "record_id", "geography_match_status") for name in ("unmatched", "ambiguous", "overrides", "out_of_scope")]
     return reduce(DataFrame.unionByName, some)
 
@@ -275,8 +287,7 @@ def geography_extracts(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def address_statuses(spark: SparkSession, sf: str) -> DataFrame:
     """The audit of address statuses, by value, and flags."""
-    dated = _mapped(spark, sf).withColumns({"transaction_date": F.lit(date(2020, 1, 1)), "source_row_number": F.col("p_partkey").cast("long")})
-    return stages.geography_audits(dated)["addresses"]
+    return stages.geography_audits(_geography_stage(spark, sf))["addresses"]
 
 
 @query
