@@ -35,6 +35,8 @@ ROOM, LEAST = 4, 64
 UNEXPLAINED = float(np.log2(ppm.ALPHABET))
 #: Sample keys up to this number are sent to every executor; more are joined by a shuffle.
 BROADCAST_ROWS = 200_000
+#: The windows of a language's sample are counted in so many tasks.
+PARTS = 8
 UNKNOWN = "und"
 
 
@@ -43,19 +45,24 @@ def prepared(text: str | None) -> bytes:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[str, tuple[list, list]] = {}
+    lang, keys, counts = None, [], []
     for batch in batches:
-        texts: dict[str, list[bytes]] = {}
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            texts.setdefault(lang, []).append(prepared(text.as_py()))
-        for lang, some in texts.items():
-            k, n = ppm.grams(ppm.joined(some)[0])
-            keys, counts = sums.setdefault(lang, ([], []))
+        if batch.num_rows:
+            lang = batch.column(0)[0].as_py()
+            k, n = ppm.grams(ppm.joined([prepared(text.as_py()) for text in batch.column(1)])[0])
             keys.append(k)
             counts.append(n)
-    for lang, (keys, counts) in sums.items():
-        k, n = ppm.summed(keys, counts)
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(k), pa.string()), pa.array(k.astype(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
+    k, n = ppm.summed(keys, counts)
+    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(k), pa.string()), pa.array(k.astype(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
+
+
+def windows(picked: DataFrame) -> DataFrame:
+    """(lang, gram, n): windows of the texts of (``lang``, ``text``, ``order``), summed in ``PARTS`` parts of a language.
+
+    The parts follow from the rows, so the number of sums is the same over any number of partitions.
+    """
+    parts = picked.select("lang", "text", F.pmod("order", F.lit(PARTS)).alias("part"))
+    return parts.groupBy("lang", "part").applyInArrow(_count, "lang string, gram long, n long")
 
 
 def learn(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> tuple[list[str], ppm.Model | ppm.Tries | None]:
@@ -73,7 +80,7 @@ def learn(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
     chosen = durable(keys.select("order").distinct())
     few = chosen.count() <= BROADCAST_ROWS
     picked = rows.join(F.broadcast(chosen) if few else chosen, "order", "left_semi").groupBy("lang", "order").agg(F.first("text").alias("text"))
-    counts = picked.select("lang", "text").mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow().to_pandas()
+    counts = windows(picked).groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     names = sorted(counts["lang"].unique())
     parts = [counts[counts["lang"] == name].sort_values("gram") for name in names]
     if not names:
