@@ -1,17 +1,22 @@
 """Connected components of an edge table by alternating large-star and small-star steps.
 
 All state is distributed; only a count and a checksum of the edges come to the driver.  Every step is
-written to the shared checkpoint folder, so a lost executor costs no more than the step it was in.
+written to the shared checkpoint folder, so a lost executor costs no more than the step it was in.  ``labelled``
+spares a small table these steps: it is labelled on the driver, and larger ones go to ``connected``.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .runtime import durable
 
 MOST_STEPS = 60
+#: Up to so many edges ``labelled`` works on the driver, with 16 bytes an edge.
+FEW = 200_000
 
 
 def _star(pairs: DataFrame, keep: str) -> DataFrame:
@@ -47,3 +52,29 @@ def connected(edges: DataFrame) -> DataFrame:
             return current.select(F.col("u").alias("node"), F.col("v").alias("root"))
         seen = tuple(row)
     raise RuntimeError("components did not settle")
+
+
+def least_reached(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of the edges and the least node that each reaches."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    label, one, two = np.arange(len(nodes)), at[: len(u)], at[len(u) :]
+    while True:
+        a, b = label[one], label[two]
+        apart = a != b
+        if not apart.any():
+            return nodes, nodes[label]
+        one, two, a, b = one[apart], two[apart], a[apart], b[apart]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while not np.array_equal(label, label[label]):
+            label = label[label]
+
+
+def labelled(edges: DataFrame, few: int = FEW) -> DataFrame:
+    """What ``connected`` returns, in one pass on the driver for up to ``few`` edges; ``edges`` are read twice."""
+    if edges.count() > few:
+        return connected(edges)
+    found = edges.select("u", "v").toArrow()
+    nodes, roots = least_reached(*(found.column(c).to_numpy().astype(np.int64) for c in ("u", "v")))
+    below = nodes != roots
+    table = pa.table({"node": pa.array(nodes[below], pa.int64()), "root": pa.array(roots[below], pa.int64())})
+    return F.broadcast(edges.sparkSession.createDataFrame(table, "node long, root long"))

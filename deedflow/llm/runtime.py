@@ -78,6 +78,17 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def swept(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffles and checkpoints that nothing refers to any more.
+
+    It learns of them when the driver collects garbage, which may be long after a large shuffle was read for the last time.
+    """
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
